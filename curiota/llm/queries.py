@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curiota.llm import codec, token_count
+from curiota.llm import codec, lines, quality, secrets, simhash, token_count
+
+#: Texts whose words train the ordinary-identifier model of operator 1.
+TRAIN_ROWS = 500
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,20 +23,67 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    model = secrets.train(secrets.labelled_samples(spark, docs, TRAIN_ROWS))
+    return secrets.digest(secrets.scan(docs, model))
+
+
 def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codec.round_trip_digest(_documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_documents(spark, sf_dir), shingle=3, distance=3)
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.cascade(_documents(spark, sf_dir))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(_documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"), limit=512)
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = lines.dedup_lines(_documents(spark, sf_dir), min_chars=40, min_docs=5)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+#: DuckDB; white space is [\x20\x09-\x0D] and only A-Z are folded, as in the operator.
+OP10_SQL = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
+    FROM documents
+), keyed AS (
+    SELECT doc_id, pos, line,
+           translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+), common AS (
+    SELECT key, max(doc_id) AS keeper FROM keyed WHERE length(key) >= 40
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), marked AS (
+    SELECT k.doc_id, k.pos, k.line, c.key IS NOT NULL AND c.keeper <> k.doc_id AS gone
+    FROM keyed k LEFT JOIN common c ON k.key = c.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_secret_scans": op1_secret_scans,
         "op2_bpe_codec": op2_bpe_codec,
+        "op3_simhash": op3_simhash,
+        "op4_quality_rules": op4_quality_rules,
         "op9_token_counts": op9_token_counts,
+        "op10_line_dedup": op10_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_line_dedup": OP10_SQL}
