@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curiota.llm import codec, lines, quality, secrets, simhash, token_count
+from curiota.llm import codec, lines, packing, quality, secrets, simhash, substring, token_count
 
 #: Texts whose words train the ordinary-identifier model of operator 1.
 TRAIN_ROWS = 500
@@ -41,6 +41,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.cascade(_documents(spark, sf_dir))
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0)
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(substring.dedup_substrings(_documents(spark, sf_dir), window=20))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(_documents(spark, sf_dir), _tokenizer("byte_bpe_50k.json"), limit=512)
 
@@ -80,6 +88,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_bpe_codec": op2_bpe_codec,
         "op3_simhash": op3_simhash,
         "op4_quality_rules": op4_quality_rules,
+        "op6_best_fit_packing": op6_best_fit_packing,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_token_counts": op9_token_counts,
         "op10_line_dedup": op10_line_dedup,
     }
