@@ -28,8 +28,8 @@ import regex
 BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters of a text that are segmented at a time.
 SEGMENT = 1 << 16
-#: Entries of a memo before it is emptied; bounds a worker's memory.
-MEMO_ENTRIES = 200_000
+#: Entries of a generation of a memo; bounds a worker's memory.
+MEMO_ENTRIES = 400_000
 _NONE = 1 << 60
 
 
@@ -53,100 +53,109 @@ def sufficient_lookahead(merges: list[tuple[str, str]]) -> int:
 
 
 class MergeList:
-    """A merge list with its vocabulary, special strings and lookahead."""
+    """A merge list over token ids, with its vocabulary, special strings and lookahead."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
         merges = [tuple(m) if not isinstance(m, str) else tuple(m.split(" ")) for m in model["merges"]]
-        self.vocab: dict[str, int] = model["vocab"]
-        self.ranks = {pair: rank for rank, pair in reversed(list(enumerate(merges)))}
-        self.end = model.get("end_of_word_suffix") or ""
+        vocab: dict[str, int] = model["vocab"]
+        end = model.get("end_of_word_suffix") or ""
+        symbols = byte_symbols()
+        byte_of = {s: b for b, s in enumerate(symbols)}
+        self.first = [vocab[s] for s in symbols]
+        self.last = [vocab[s + end] for s in symbols] if end else None
+        #: rank of a pair of ids, and the id that each rank makes
+        self.ranks: dict[int, int] = {}
+        self.made: list[int] = []
+        for rank, (a, b) in enumerate(merges):
+            self.ranks.setdefault(vocab[a] << 24 | vocab[b], rank)
+            self.made.append(vocab[a + b])
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.lookahead = sufficient_lookahead(merges)
-        self.symbols = byte_symbols()
-        self._to_symbols = {b: s for b, s in enumerate(self.symbols) if chr(b) != s}
-        byte_of = {s: b for b, s in enumerate(self.symbols)}
+        self.width = [0] * (max(vocab.values()) + 1)
         self.token_bytes: dict[str, bytes] = {}
-        for token, number in self.vocab.items():
-            self.token_bytes[str(number)] = bytes(byte_of[c] for c in token if c in byte_of)
+        for token, number in vocab.items():
+            plain = token[: -len(end)] if end and token.endswith(end) else token
+            if all(c in byte_of for c in plain):
+                self.width[number] = len(plain)
+                self.token_bytes[str(number)] = bytes(byte_of[c] for c in plain)
         for token, number in self.specials.items():
             self.token_bytes[str(number)] = token.encode("utf-8")
 
-    def spell(self, piece: str) -> str:
-        return piece.encode("utf-8", "replace").decode("latin-1").translate(self._to_symbols)
-
-    def settle(self, parts: list[str]) -> list[str]:
-        """All merges over a short list of symbols: lowest rank first, leftmost on ties."""
-        if len(parts) > 48:
-            return self._settle_long(parts)
+    def _symbols(self, raw: bytes, ends: bool) -> list[int]:
+        first = self.first
+        ids = [first[b] for b in raw]
+        if ends and self.last and ids:
+            ids[-1] = self.last[raw[-1]]
+        return ids
+
+    def settle(self, ids: list[int]) -> list[int]:
+        """All merges over a short list of ids: lowest rank first, leftmost on ties."""
+        if len(ids) > 48:
+            return self._settle_long(ids)
         get = self.ranks.get
-        ranks = [get(p, _NONE) for p in zip(parts, parts[1:], strict=False)]
+        ranks = [get(a << 24 | b, _NONE) for a, b in zip(ids, ids[1:])]  # noqa: B905
         while ranks:
             best = min(ranks)
             if best == _NONE:
                 break
             i = ranks.index(best)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del ranks[i]
+            made = ids[i] = self.made[best]
+            del ids[i + 1], ranks[i]
             if i < len(ranks):
-                ranks[i] = get((parts[i], parts[i + 1]), _NONE)
+                ranks[i] = get(made << 24 | ids[i + 1], _NONE)
             if i:
-                ranks[i - 1] = get((parts[i - 1], parts[i]), _NONE)
-        return parts
+                ranks[i - 1] = get(ids[i - 1] << 24 | made, _NONE)
+        return ids
 
-    def _settle_long(self, parts: list[str]) -> list[str]:
+    def _settle_long(self, ids: list[int]) -> list[int]:
         """The same with a heap over a linked list, for windows of a long run."""
-        n, get = len(parts), self.ranks.get
+        n, get = len(ids), self.ranks.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i, parts[i], parts[i + 1]) for i in range(n - 1) if (r := get((parts[i], parts[i + 1]))) is not None]
+        heap = [(r, i) for i in range(n - 1) if (r := get(ids[i] << 24 | ids[i + 1])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            rank, i = heapq.heappop(heap)
             j = after[i]
-            if parts[i] != a or j >= n or parts[j] != b:
+            # a pair that another merge has changed since is stale
+            if ids[i] < 0 or j >= n or get(ids[i] << 24 | ids[j]) != rank:
                 continue
-            parts[i], parts[j] = a + b, ""
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-                if (r := get((parts[i], parts[after[i]]))) is not None:
-                    heapq.heappush(heap, (r, i, parts[i], parts[after[i]]))
-            if before[i] >= 0:
-                k = before[i]
-                if (r := get((parts[k], parts[i]))) is not None:
-                    heapq.heappush(heap, (r, k, parts[k], parts[i]))
-        return [p for p in parts if p]
-
-    def tokens(self, piece: str):
-        """Emit the token ids of one pre-token as soon as they are settled."""
-        vocab, spelled = self.vocab, self.spell(piece)
-        window = 2 * self.lookahead + 512
-        if len(spelled) <= window:
-            parts = list(spelled)
-            if self.end and parts:
-                parts[-1] += self.end
-            yield from (vocab[t] for t in self.settle(parts) if t in vocab)
-            return
-        buffer, at, n = "", 0, len(spelled)
-        while at < n or buffer:
-            take = spelled[at : at + window - len(buffer)]
+            ids[i], ids[j] = self.made[rank], -1
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                if (r := get(ids[i] << 24 | ids[k])) is not None:
+                    heapq.heappush(heap, (r, i))
+            if (k := before[i]) >= 0 and (r := get(ids[k] << 24 | ids[i])) is not None:
+                heapq.heappush(heap, (r, k))
+        return [x for x in ids if x >= 0]
+
+    def tokens(self, piece: str) -> list[int]:
+        """The token ids of one pre-token."""
+        raw = piece.encode("utf-8", "replace")
+        if len(raw) <= 2 * self.lookahead + 512:
+            return self.settle(self._symbols(raw, True))
+        return [i for ids in self.stream(raw) for i in ids]
+
+    def stream(self, raw: bytes):
+        """Emit lists of ids of a long pre-token as soon as they are settled, from a buffer of constant size."""
+        window, buffer, at, n = 2 * self.lookahead + 512, b"", 0, len(raw)
+        while at < n:
+            take = raw[at : at + window - len(buffer)]
             at += len(take)
             buffer += take
-            parts = list(buffer)
-            if at >= n and self.end:
-                parts[-1] += self.end
-            done = 0
-            for token in self.settle(parts):
-                width = len(token)
-                if at < n and done + width + self.lookahead > len(buffer):
-                    break
-                done += width
-                if token in vocab:
-                    yield vocab[token]
+            ids = self.settle(self._symbols(buffer, at >= n))
             if at >= n:
+                yield ids
                 return
+            done, kept = 0, 0
+            for kept, number in enumerate(ids):  # noqa: B007
+                if done + self.width[number] + self.lookahead > len(buffer):
+                    break
+                done += self.width[number]
+            yield ids[:kept]
             buffer = buffer[done:]
 
 
@@ -161,16 +170,24 @@ def merge_list(path: str) -> MergeList:
 
 
 class Memo(dict):
-    """Paths of the transducer that were taken before, bounded in number."""
+    """Paths of the transducer that were taken before, in two generations of bounded size.
+
+    A full generation becomes the old one; entries still in use come back from there.
+    """
 
     def __init__(self, make):
         super().__init__()
         self.make = make
+        self.old: dict = {}
 
     def __missing__(self, key):
         if len(self) >= MEMO_ENTRIES:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        value = self.old.pop(key, None)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
 
@@ -183,25 +200,26 @@ _ODD = re.compile(r"[^\S\n ]|[ \n](?:[ \n]|\Z)")
 class ByteLevelSegmenter:
     """Cuts text into units that pre-tokenize alone, and folds them into values.
 
-    ``value`` maps a list of token ids to what a caller wants of a unit (ids as
-    text, a count), ``special`` does it for one special token.
+    ``value`` maps a list of token ids to what a caller wants (ids as text, a
+    count) and ``combine`` puts the values of neighbouring pre-tokens together.
     """
 
-    def __init__(self, merges: MergeList, value):
+    def __init__(self, merges: MergeList, value, combine):
         self.merges = merges
         self.find = regex.compile(BYTE_LEVEL_PATTERN).findall
         self.value = value
-        self.word = Memo(lambda p: list(merges.tokens(p)))
+        self.combine = combine
+        self.word = Memo(lambda piece: value(merges.tokens(piece)))
         self.unit = Memo(self._unit)
         self.after_space = Memo(lambda piece: self._unit(piece if piece[0] == "\n" else " " + piece))
         order = sorted(merges.specials, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, order)) + ")") if order else None
 
     def _unit(self, unit: str):
-        ids: list[int] = []
-        for piece in self.find(unit):
-            ids += self.word[piece] if len(piece) <= 64 else self.merges.tokens(piece)
-        return self.value(ids)
+        pieces = self.find(unit)
+        if len(pieces) == 1 and len(unit) <= 64:
+            return self.value(self.merges.tokens(unit))
+        return self.combine([self.word[p] if len(p) <= 64 else self.value(self.merges.tokens(p)) for p in pieces])
 
     def fold(self, part: str) -> list:
         """Values of the units of a stretch that begins and ends at boundaries."""

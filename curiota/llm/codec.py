@@ -21,7 +21,7 @@ class StreamEncoder:
 
     def __init__(self, path: str):
         self.merges = merge_list(path)
-        self.segmenter = ByteLevelSegmenter(self.merges, lambda ids: ",".join(map(str, ids)))
+        self.segmenter = ByteLevelSegmenter(self.merges, lambda ids: ",".join(map(str, ids)), ",".join)
 
     def feed(self, text: str):
         """Yield comma-joined ids of settled stretches, in order; never an empty string."""

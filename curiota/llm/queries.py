@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curiota.llm import codec, lines, packing, quality, secrets, simhash, substring, token_count
+from curiota.llm import codec, fingerprint, lines, packing, quality, secrets, simhash, substring, token_count
 
 #: Texts whose words train the ordinary-identifier model of operator 1.
 TRAIN_ROWS = 500
@@ -41,6 +41,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.cascade(_documents(spark, sf_dir))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.against_next(_documents(spark, sf_dir))
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0)
 
@@ -88,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_bpe_codec": op2_bpe_codec,
         "op3_simhash": op3_simhash,
         "op4_quality_rules": op4_quality_rules,
+        "op5_fingerprints": op5_fingerprints,
         "op6_best_fit_packing": op6_best_fit_packing,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_token_counts": op9_token_counts,

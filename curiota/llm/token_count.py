@@ -41,7 +41,7 @@ class StateMap:
 
 class CountTransducer:
     def __init__(self, path: str):
-        self.segmenter = ByteLevelSegmenter(merge_list(path), len)
+        self.segmenter = ByteLevelSegmenter(merge_list(path), len, sum)
 
     def emitted(self, stretch: str) -> int:
         return sum(self.segmenter.fold(stretch))
