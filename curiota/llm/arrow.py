@@ -40,6 +40,20 @@ def map_columns(df: DataFrame, columns: Sequence[str], make: Callable[[], Callab
     return df.select(*quoted).mapInArrow(run, struct)
 
 
+def filter_rows(df: DataFrame, column: str, make: Callable[[], Callable]) -> DataFrame:
+    """The rows for whose value of ``column`` the predicate holds; ``make()`` gives it for a list of values."""
+    at = df.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = make()
+        for batch in batches:
+            for lo in range(0, batch.num_rows, SLICE_ROWS):
+                part = batch.slice(lo, SLICE_ROWS)
+                yield part.filter(pa.array(keep(part.column(at).to_pylist()), type=pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Keep the cluster's ``spark.checkpoint.dir``; set a folder only where none is set."""
     if spark.sparkContext.getCheckpointDir() is None:

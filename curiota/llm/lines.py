@@ -97,3 +97,26 @@ def dedup_lines(
         (F.col("n_lines") - F.coalesce("redone.n", "n_lines")).alias("n_dropped"),
         "row",
     )
+
+
+def drop_lines(
+    df: DataFrame,
+    min_chars: int = 40,
+    min_docs: int = 5,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    length_col: str | None = "n_chars",
+) -> DataFrame:
+    """``df`` with the lost lines cut out of its texts; a length column, if there is one, follows."""
+    done = dedup_lines(df, min_chars, min_docs, id_col, text_col)
+
+    def column(c: str) -> Column:
+        if c == id_col:
+            return F.col(f"`{c}`")
+        if c == text_col:
+            return F.col("kept_text").alias(c)
+        if c == length_col:
+            return F.when(F.col("n_dropped") > 0, F.length("kept_text").cast(df.schema[c].dataType)).otherwise(F.col(f"row.`{c}`")).alias(c)
+        return F.col(f"row.`{c}`").alias(c)
+
+    return done.select(*map(column, df.columns))

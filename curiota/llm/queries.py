@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curiota.llm import codec, fingerprint, lines, packing, quality, secrets, simhash, substring, token_count
+from curiota.llm import codec, fingerprint, lines, packing, quality, secrets, simhash, substring, token_count, toxicity
 
 #: Texts whose words train the ordinary-identifier model of operator 1.
 TRAIN_ROWS = 500
@@ -49,6 +49,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), _tokenizer("word_bpe_49k.json"), capacity=2048, end_id=0)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.dedup_substrings(_documents(spark, sf_dir), window=20))
 
@@ -94,6 +98,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality_rules": op4_quality_rules,
         "op5_fingerprints": op5_fingerprints,
         "op6_best_fit_packing": op6_best_fit_packing,
+        "op7_toxicity": op7_toxicity,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_token_counts": op9_token_counts,
         "op10_line_dedup": op10_line_dedup,

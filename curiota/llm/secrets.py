@@ -124,26 +124,41 @@ def labelled_samples(spark: SparkSession, documents: DataFrame, rows: int, text_
     return random.unionByName(ordinary)
 
 
-def scan(df: DataFrame, model: MarkovModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, text, spans``: spans as array<struct<s,k,e>> by start, then kind."""
-    text = F.col("text")
-    staged = df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+def _with_spans(staged: DataFrame, model: MarkovModel) -> DataFrame:
+    """``staged`` (a column ``text`` without nulls) with spans as array<struct<s,k,e>> by start, then kind."""
+    text, rest = F.col("text"), staged.columns
     long_enough = lambda x: F.length(F.regexp_extract(x["w"], ASSIGN, 1)) >= ASSIGN_VALUE
-    staged = staged.select(
-        "id",
-        "text",
-        F.concat(
-            _matches(text, ASSIGN, 0, long_enough), _matches(text, ACCESS, 1), _matches(text, HEX, 2)
-        ).alias("base"),
-        _matches(
-            text, TOKEN, 3, lambda x: x["w"].rlike("[A-Za-z]") & (model.score(x["w"]) > model.threshold)
-        ).alias("scored"),
+    random = lambda x: x["w"].rlike("[A-Za-z]") & (model.score(x["w"]) > model.threshold)
+    found = staged.select(
+        *rest,
+        F.concat(_matches(text, ASSIGN, 0, long_enough), _matches(text, ACCESS, 1), _matches(text, HEX, 2)).alias("base"),
+        _matches(text, TOKEN, 3, random).alias("scored"),
     )
     apart = lambda x: ~F.exists("base", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
     spans = F.sort_array(F.concat("base", F.filter("scored", apart)))
-    return staged.select(
-        "id", "text", F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e"))).alias("spans")
-    ).withColumnRenamed("id", id_col)
+    plain = F.transform(spans, lambda x: F.struct(x["s"].alias("s"), x["k"].alias("k"), x["e"].alias("e")))
+    return found.select(*rest, plain.alias("spans"))
+
+
+def scan(df: DataFrame, model: MarkovModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, text, spans``: spans as array<struct<s,k,e>> by start, then kind."""
+    staged = df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    return _with_spans(staged, model).withColumnRenamed("id", id_col)
+
+
+def redact(df: DataFrame, model: MarkovModel, text_col: str = "text", length_col: str | None = "n_chars") -> DataFrame:
+    """``df`` with every secret replaced by ``[SECRET]``; a length column, if there is one, follows."""
+    staged = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    done = _with_spans(staged, model).select("row", F.when(F.size("spans") > 0, redacted(F.col("text"), F.col("spans"))).alias("clean"))
+
+    def column(c: str) -> Column:
+        if c == text_col:
+            return F.coalesce("clean", f"row.`{c}`").alias(c)
+        if c == length_col:
+            return F.coalesce(F.length("clean").cast(df.schema[c].dataType), f"row.`{c}`").alias(c)
+        return F.col(f"row.`{c}`").alias(c)
+
+    return done.select(*map(column, df.columns))
 
 
 def _kind(x: Column) -> Column:

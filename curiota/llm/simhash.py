@@ -190,3 +190,12 @@ def near_duplicates(
     return prints.join(labelled, F.col("fp") == F.col("class_fp")).select(
         F.col("id").alias(id_col), hexadecimal(F.col("fp")).alias("fingerprint"), "component_id"
     )
+
+
+def drop_near_duplicates(
+    df: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``df``, with all their columns, of the smallest id of every component."""
+    marked = near_duplicates(df, shingle, distance, id_col, text_col)
+    first = marked.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__first")).distinct()
+    return df.join(first, F.col(f"`{id_col}`") == F.col("__first"), "left_semi")
