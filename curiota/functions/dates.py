@@ -25,12 +25,19 @@ MONTHS = {
 }
 
 
+def let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` mentions it.
+
+    Staged projections would not do: a filter pushed below them puts every
+    mention back in full.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def month_number(word: Column) -> Column:
-    """Month of a lower-case ASCII month word; null for other words."""
-    out = F.lit(None).cast("int")
-    for n, words in MONTHS.items():
-        out = F.when(word.isin(words), F.lit(n)).otherwise(out)
-    return out
+    """Month of a lower-case ASCII month word; null for other words.  The lookup table is one literal."""
+    pairs = [F.lit(x) for n, words in MONTHS.items() for w in words for x in (w, n)]
+    return F.try_element_at(F.create_map(*pairs), word)
 
 
 def is_leap(year: Column) -> Column:

@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curiota.functions.dates import MONTHS, VALID_INTERVAL, completed, days_in_month, joined, month_number, partial_parts
+from curiota.functions.dates import MONTHS, VALID_INTERVAL, completed, days_in_month, joined, let, month_number, partial_parts
 from curiota.functions.naming import base_name, col, current, put, resolve
 from curiota.functions.nulls import is_missing
 from curiota.functions.text import fold, fold_text
@@ -116,38 +116,67 @@ def convertdatetype(
     return out
 
 
-def _iso(text: Column) -> Column:
+#: The date forms that are read, besides ISO.
+_ISO = r"^(\d{4}(?:-\d{2}(?:-\d{2})?)?)(?:[t ]\d{2}:?\d{2}.*)?$"
+_LOOSE = r"^(\d{4})[-/. ](\d{1,2})[-/. ](\d{1,2})(?:[t ]\d{1,2}:\d{2}.*)?$"
+_COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
+_DAY_FIRST = r"^(\d{1,2})[-/. ](\d{1,2})[-/. ](\d{4})(?:[t ]\d{1,2}:\d{2}.*)?$"
+_WORDS = r"^(\d{1,2})(?:st|nd|rd|th|er|\.)?[-/. ]*(?:de )?([a-z]{3,})\.?[-/. ]*(?:de )?(\d{4})$"
+_WORD_FIRST = r"^([a-z]{3,})\.?[-/. ]+(\d{1,2})(?:st|nd|rd|th)?[-/. ]+(\d{4})$"
+_WORD_YEAR = r"^([a-z]{3,})\.?[-/. ]+(\d{4})$"
+
+
+def iso_date(text: Column) -> Column:
     """One date (not an interval) in any accepted form as ``YYYY[-MM[-DD]]``; null for other text.
 
-    Accepted: ISO dates with or without a time, year and month, year, day-month-year
-    and month-day-year where one part exceeds 12 or the month is a word, and
-    compact ``YYYYMMDD``.  Numeric dates that two orders can read are refused.
+    Accepted: ISO dates with or without a time, year and month, year,
+    day-month-year and month-day-year where one part exceeds 12 or the month is a
+    word, and compact ``YYYYMMDD``.  Numeric dates that two orders can read are refused.
     """
-    low = F.lower(fold(text))
-    iso = F.regexp_extract(low, r"^(\d{4}(?:-\d{2}(?:-\d{2})?)?)(?:[t ]\d{2}:?\d{2}.*)?$", 1)
-    loose = r"^(\d{4})[-/. ](\d{1,2})[-/. ](\d{1,2})(?:[t ]\d{1,2}:\d{2}.*)?$"
-    compact = r"^(\d{4})(\d{2})(\d{2})$"
-    dmy = r"^(\d{1,2})[-/. ](\d{1,2})[-/. ](\d{4})(?:[t ]\d{1,2}:\d{2}.*)?$"
-    words = r"^(\d{1,2})(?:st|nd|rd|th|\.|er|de|\s)*[-/. ]?([a-z]{3,})\.?[-/. ]*(?:de )?(\d{4})$"
-    words_us = r"^([a-z]{3,})\.?[-/. ]+(\d{1,2})(?:st|nd|rd|th)?[-/. ]+(\d{4})$"
-    word_year = r"^([a-z]{3,})\.?[-/. ]+(\d{4})$"
-    part = lambda p, i: F.regexp_extract(low, p, i)
-    number = lambda p, i: part(p, i).try_cast("int")
-    a, b = number(dmy, 1), number(dmy, 2)
-    text_of = F.when(iso != "", iso)
-    text_of = F.coalesce(text_of, F.when(part(loose, 1) != "", joined(number(loose, 1), number(loose, 2), number(loose, 3))))
-    text_of = F.coalesce(text_of, F.when(part(compact, 1) != "", joined(number(compact, 1), number(compact, 2), number(compact, 3))))
-    text_of = F.coalesce(
-        text_of,
-        F.when((part(dmy, 1) != "") & (a > 12) & (b <= 12), joined(number(dmy, 3), b, a)).when(
-            (part(dmy, 1) != "") & (b > 12) & (a <= 12), joined(number(dmy, 3), a, b)
-        ).when((part(dmy, 1) != "") & (a == b), joined(number(dmy, 3), b, a)),
-    )
-    month, month_us, month_y = month_number(part(words, 2)), month_number(part(words_us, 1)), month_number(part(word_year, 1))
-    text_of = F.coalesce(text_of, F.when(month.isNotNull(), joined(number(words, 3), month, number(words, 1))))
-    text_of = F.coalesce(text_of, F.when(month_us.isNotNull(), joined(number(words_us, 3), month_us, number(words_us, 2))))
-    text_of = F.coalesce(text_of, F.when(month_y.isNotNull(), joined(number(word_year, 2), month_y, F.lit(None).cast("int"))))
-    return F.when(completed(text_of).isNotNull(), text_of)
+
+    def read(low: Column) -> Column:
+        part = lambda p, i: F.regexp_extract(low, p, i)
+        number = lambda p, i: part(p, i).try_cast("int")
+        ymd = lambda p: joined(number(p, 1), number(p, 2), number(p, 3))
+        nothing = F.lit(None).cast("int")
+
+        def ordered(x: Column) -> Column:
+            a, b, year = x["a"], x["b"], x["y"]
+            day_first, month_first = ((a > 12) & (b <= 12)) | (a == b), (b > 12) & (a <= 12)
+            return F.when(day_first, joined(year, b, a)).when(month_first, joined(year, a, b))
+
+        def worded(p: str, word: int, year: int, day: int | None) -> Column:
+            return let(
+                month_number(part(p, word)),
+                lambda m: F.when(m.isNotNull(), joined(number(p, year), m, number(p, day) if day else nothing)),
+            )
+
+        return (
+            F.when(low.rlike(_ISO), part(_ISO, 1))
+            .when(low.rlike(_LOOSE), ymd(_LOOSE))
+            .when(low.rlike(_COMPACT), ymd(_COMPACT))
+            .when(low.rlike(_DAY_FIRST), let(F.struct(*(number(_DAY_FIRST, i).alias(n) for i, n in enumerate("aby", 1))), ordered))
+            .when(low.rlike(_WORDS), worded(_WORDS, 2, 3, 1))
+            .when(low.rlike(_WORD_FIRST), worded(_WORD_FIRST, 1, 3, 2))
+            .when(low.rlike(_WORD_YEAR), worded(_WORD_YEAR, 1, 2, None))
+        )
+
+    return let(let(F.lower(fold(F.trim(text))), read), lambda iso: F.when(completed(iso).isNotNull(), iso))
+
+
+def _date_or_interval(clean: Column) -> Column:
+    """``YYYY[-MM[-DD]]``, or two of them in order joined by ``/``; null for other text."""
+
+    def sides(s: Column) -> Column:
+        def both(x: Column) -> Column:
+            a, b = x["a"], x["b"]
+            known = a.isNotNull() & b.isNotNull()
+            return F.when(known, F.when(a == b, a).otherwise(F.concat_ws("/", F.least(a, b), F.greatest(a, b))))
+
+        return F.when(F.size(s) == 2, let(F.struct(iso_date(F.get(s, F.lit(0))).alias("a"), iso_date(F.get(s, F.lit(1))).alias("b")), both))
+
+    interval = clean.rlike(r"^\s*\d{4}[-\d]*(?:[Tt ][^/]*)?\s*/")
+    return F.coalesce(F.when(interval, let(F.split(clean, "/"), sides)), iso_date(clean))
 
 
 @operator("transformation", keyed=False)
@@ -174,32 +203,36 @@ def parsedate(
     raw = col(where.source).cast("string")
     if stdnan:
         raw = F.when(~is_missing(raw), raw)
-    clean = F.trim(F.regexp_replace(F.regexp_replace(raw, r"""[,;()"']+""", " "), r"\s+", " "))
-    whole = _iso(clean)
-    sides = F.when(clean.rlike(r"^\s*\d{4}[-\d]*(?:[Tt ][^/]*)?\s*/"), F.split(clean, "/"))
-    one, two = _iso(F.trim(F.get(sides, F.lit(0)))), _iso(F.trim(F.get(sides, F.lit(1))))
-    both = F.when(
-        (F.size(sides) == 2) & one.isNotNull() & two.isNotNull(),
-        F.when(one == two, one).otherwise(F.concat_ws("/", F.least(one, two), F.greatest(one, two))),
-    )
-    read = F.coalesce(both, whole)
-    year = F.substring(read, 1, 4).try_cast("int")
-    unlikely = read.isNotNull() & ~year.between(year_min, year_max)
-    code, codes = _code(where.source), []
-    codes.append(F.when(raw.isNotNull() & read.isNull(), f"{code}_INVALID"))
-    codes.append(F.when(unlikely, f"{code}_UNLIKELY"))
-    value = F.when(~unlikely, read)
+    code = _code(where.source)
     keys = [_need(df, x) for x in (yearkey, monthkey, daykey)]
+    built = F.lit(None).cast("string")
     if keys[0]:
-        y, _, _ = year_number(col(keys[0]), drop_ambiguous=True)
-        m = limited(col(keys[1]), 12)[0] if keys[1] else F.lit(None).cast("bigint")
-        d = limited(col(keys[2]), 31)[0] if keys[2] else F.lit(None).cast("bigint")
-        d = F.when(d <= F.coalesce(days_in_month(y, m), F.lit(0)), d)
-        mismatch = _mismatch(raw, y, m, d)
-        built = F.when(read.isNull() & ~F.coalesce(mismatch.contains("MISMATCH"), F.lit(False)), joined(y, m, d))
-        value = F.coalesce(value, built)
-        codes.append(F.when(read.isNull() & built.isNotNull(), f"{code}_ASSEMBLED"))
-    return put(df.withColumn("issue_parsedate", _codes(*codes)), where, value)
+        nothing = F.lit(None).cast("bigint")
+        y = year_number(col(keys[0]), drop_ambiguous=True)[0]
+        m = limited(col(keys[1]), 12)[0] if keys[1] else nothing
+        d = limited(col(keys[2]), 31)[0] if keys[2] else nothing
+        possible = lambda x: F.when(x["d"] <= F.coalesce(days_in_month(x["y"], x["m"]), F.lit(0)), x["d"])
+        parts = F.struct(y.alias("y"), m.alias("m"), d.alias("d"))
+        df = df.withColumn("__parts", let(parts, lambda x: F.struct(x["y"].alias("y"), x["m"].alias("m"), possible(x).alias("d"))))
+        y, m, d = (F.col(f"__parts.{n}") for n in "ymd")
+        df = df.withColumn("__code", _mismatch(raw, y, m, d))
+        built = F.when(~F.coalesce(F.col("__code").contains("MISMATCH"), F.lit(False)), joined(y, m, d))
+
+    def finish(x: Column) -> Column:
+        read, made = x["read"], x["made"]
+        unlikely = F.coalesce(~F.substring(read, 1, 4).try_cast("int").between(year_min, year_max), F.lit(False))
+        issue = _codes(
+            F.when(x["raw"].isNotNull() & read.isNull(), f"{code}_INVALID"),
+            F.when(unlikely, f"{code}_UNLIKELY"),
+            F.when(read.isNull() & made.isNotNull(), f"{code}_ASSEMBLED"),
+        )
+        value = F.when(read.isNull(), made).when(~unlikely, read)
+        return F.struct(value.alias("value"), issue.alias("issue"))
+
+    clean = F.trim(F.regexp_replace(F.regexp_replace(raw, r"""[,;()"']+""", " "), r"\s+", " "))
+    staged = F.struct(raw.alias("raw"), let(clean, _date_or_interval).alias("read"), built.alias("made"))
+    out = df.withColumn("__parsed", let(staged, finish)).withColumn("issue_parsedate", F.col("__parsed.issue"))
+    return put(out, where, F.col("__parsed.value")).drop("__parsed", "__parts", "__code")
 
 
 def mismatch_of(text: str | None, year: int | None, month: int | None, day: int | None) -> str | None:
