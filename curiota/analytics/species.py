@@ -58,7 +58,7 @@ def species_stats(df: DataFrame, taxon: str, cell: str, cell_area_km2: float = 1
         F.count_if(before < share * F.col("total")).alias("cells_for_share"),
         (100.0 * F.count_if(before < share * F.col("total")) / F.count("*")).alias("pct_cells_for_share"),
         (100.0 * F.max("n") / F.sum("n")).alias("max_cell_pct"),
-        F.round(gini(F.col("rank"), F.col("n")), 8).alias("gini"),
+        gini(F.col("rank"), F.col("n")).alias("gini"),
         F.round(pielou(F.col("n") / F.col("total")), 2).alias("pielou"),
     )
 

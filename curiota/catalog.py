@@ -398,12 +398,12 @@ def _cells(spark, d):
               sum(n) OVER (PARTITION BY taxon ORDER BY n DESC, cell ROWS UNBOUNDED PRECEDING) - n AS before FROM {_CELLS})
         SELECT taxon, cast(sum(n) AS bigint) AS n_records, count(*) AS n_cells, count(*) FILTER (WHERE before < 0.9 * total) AS cells_for_share,
           round(100.0 * max(n) / sum(n), 6) AS max_cell_pct,
-          round(CASE WHEN count(*) = 1 THEN 0 ELSE greatest(0, least(1, (2.0 * sum(i * n) / (count(*) * sum(n)) - (count(*) + 1.0) / count(*)) * count(*) / (count(*) - 1))) END, 6) AS gini
+          round(CASE WHEN count(*) = 1 THEN 0 ELSE greatest(0, least(1, (2.0 * sum(i * n) / (count(*) * sum(n)) - (count(*) + 1.0) / count(*)) * count(*) / (count(*) - 1))) END, 10) AS gini
         FROM r GROUP BY taxon""",
 )
 def species_stats(spark, d):
     out = species.species_stats(_cells(spark, d), "t", "c")
-    return out.select("taxon", "n_records", "n_cells", "cells_for_share", F.round("max_cell_pct", 6).alias("max_cell_pct"), F.round("gini", 6).alias("gini"))
+    return out.select("taxon", "n_records", "n_cells", "cells_for_share", F.round("max_cell_pct", 6).alias("max_cell_pct"), F.round("gini", 10).alias("gini"))
 
 
 @query(
@@ -489,7 +489,7 @@ WITH r AS (SELECT cell, n, row_number() OVER (PARTITION BY cell ORDER BY n, taxo
              cast(sum(n) OVER (PARTITION BY cell) AS double) AS total FROM {_CELLS})
 SELECT cell, count(*) AS richness, cast(sum(n) AS bigint) AS n_records, quantile_cont(n, 0.5) AS median_records, round(max(n) / sum(n), 6) AS top1_share,
        round(sum(CASE WHEN down <= 3 THEN n ELSE 0 END) / sum(n), 6) AS top3_share,
-       round(greatest(0, least(1, (2.0 * sum(up * n) / (count(*) * sum(n)) - (count(*) + 1.0) / count(*)) * count(*) / (count(*) - 1))), 6) AS gini,
+       round(greatest(0, least(1, (2.0 * sum(up * n) / (count(*) * sum(n)) - (count(*) + 1.0) / count(*)) * count(*) / (count(*) - 1))), 5) AS gini,
        round(-sum(n / total * ln(n / total)) / ln(count(*)), 6) AS pielou, round(1 - sum(n / total * n / total), 6) AS simpson,
        round(exp(-sum(n / total * ln(n / total))), 4) AS hill_q1, round(1 / sum(n / total * n / total), 4) AS hill_q2
 FROM r GROUP BY cell
@@ -499,8 +499,8 @@ FROM r GROUP BY cell
 @query("cell_metrics", _CELL_SQL)
 def cell_metrics(spark, d):
     m = cells.cell_metrics(_cells(spark, d), "t", "c")
-    six = ["top1_share", "top3_share", "gini", "pielou", "simpson"]
-    return m.select("cell", "richness", "n_records", "median_records", *(F.round(x, 6).alias(x) for x in six), F.round("hill_q1", 4).alias("hill_q1"), F.round("hill_q2", 4).alias("hill_q2"))
+    six = ["top1_share", "top3_share", "pielou", "simpson"]
+    return m.select("cell", "richness", "n_records", "median_records", F.round("gini", 5).alias("gini"), *(F.round(x, 6).alias(x) for x in six), F.round("hill_q1", 4).alias("hill_q1"), F.round("hill_q2", 4).alias("hill_q2"))
 
 
 @query(
@@ -555,11 +555,11 @@ def month_year_counts(spark, d):
 
 @query(
     "month_year_share",
-    f"SELECT y AS year, {', '.join(f'round(100.0 * count(*) FILTER (WHERE m = {i}) / count(m), 6) AS "{i}"' for i in range(1, 13))}, round(100.0 * count(*) FILTER (WHERE m IS NULL) / count(*), 6) AS unknown FROM {_MONTHS} GROUP BY 1",
+    f"SELECT y AS year, {', '.join(f'round(100.0 * count(*) FILTER (WHERE m = {i}) / count(m), 5) AS "{i}"' for i in range(1, 13))}, round(100.0 * count(*) FILTER (WHERE m IS NULL) / count(*), 6) AS unknown FROM {_MONTHS} GROUP BY 1",
 )
 def month_year_share(spark, d):
     out = time.month_year_share(_months(spark, d), "y", "m")
-    return out.select("year", *(F.round(f"`{c}`", 6).alias(c) for c in out.columns[1:]))
+    return out.select("year", *(F.round(f"`{c}`", 6 if c == "unknown" else 5).alias(c) for c in out.columns[1:]))
 
 
 @query("window_summary", "SELECT min(l_quantity) AS low, max(l_quantity) AS high, round(avg(l_quantity), 6) AS mean FROM lineitem")
@@ -610,11 +610,11 @@ def createmarinefilter(spark, d):
     return marine.createmarinefilter(df, "lat", "lon", "row_id", synthetic_world(36), "taxon")
 
 
-@query("filtermarinelocations", "SELECT l_orderkey, l_linenumber, 1 AS marine_mask FROM lineitem WHERE l_orderkey % 3 = 0")
+@query("filtermarinelocations", "SELECT o_orderkey, 1 AS marine_mask FROM orders WHERE o_custkey % 3 = 0")
 def filtermarinelocations(spark, d):
-    df = _table(spark, d, "lineitem").withColumn("row_id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
-    kept = df.where("l_orderkey % 3 = 0").select(F.col("row_id").alias("index"), F.lit(1).alias("marine_mask"), F.col("l_partkey").alias("control"))
-    return marine.filtermarinelocations(df, kept, "row_id", "l_partkey", keep_mask=True).select("l_orderkey", "l_linenumber", "marine_mask")
+    df = _table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    kept = df.where("o_custkey % 3 = 0").select(F.col("o_orderkey").alias("index"), F.lit(1).alias("marine_mask"), F.col("o_custkey").alias("control"))
+    return marine.filtermarinelocations(df, kept, "o_orderkey", "o_custkey", keep_mask=True).select("o_orderkey", "marine_mask")
 
 
 # taxonomy ---------------------------------------------------------------------------------------
@@ -626,7 +626,7 @@ def _register(spark, d) -> DataFrame:
         """SELECT s_suppkey AS AphiaID, concat('Genus', char(97 + s_suppkey % 5), 'us species', char(97 + s_suppkey % 10), 'a') AS scientificname,
              concat('Genus', char(97 + s_suppkey % 5), 'us') AS genus, 'Familia' AS family, 'Ordo' AS `order`, 'Classis' AS class, 'Phylum' AS phylum, 'Animalia' AS kingdom,
              'exact' AS match_type, CASE WHEN s_suppkey % 4 = 0 THEN 'unaccepted' ELSE 'accepted' END AS status,
-             CASE WHEN s_suppkey = 8 THEN 16 WHEN s_suppkey = 16 THEN 8 WHEN s_suppkey % 4 = 0 THEN s_suppkey - 1 ELSE s_suppkey END AS valid_AphiaID,
+             CASE WHEN s_suppkey = 8 THEN 16 WHEN s_suppkey = 16 THEN 8 WHEN s_suppkey % 4 = 0 AND s_suppkey > 0 THEN s_suppkey - 1 ELSE s_suppkey END AS valid_AphiaID,
              0L AS isExtinct, 1L AS isMarine, 0L AS isBrackish, 'Species' AS rank, concat('Author', char(97 + s_suppkey % 7), ', ', 1800 + s_suppkey) AS authority
            FROM {supplier}""",
         supplier=_table(spark, d, "supplier"),
@@ -635,7 +635,7 @@ def _register(spark, d) -> DataFrame:
 
 @query(
     "accepted_filter",
-    """SELECT s_suppkey AS id, CASE WHEN s_suppkey IN (8, 16) THEN NULL WHEN s_suppkey % 4 = 0 THEN s_suppkey - 1 ELSE s_suppkey END AS accepted_id,
+    """SELECT s_suppkey AS id, CASE WHEN s_suppkey IN (8, 16) THEN NULL WHEN s_suppkey % 4 = 0 AND s_suppkey > 0 THEN s_suppkey - 1 ELSE s_suppkey END AS accepted_id,
          CASE WHEN s_suppkey IN (8, 16) THEN 'cycle' ELSE 'accepted' END AS status FROM supplier""",
 )
 def accepted_filter(spark, d):
@@ -745,7 +745,7 @@ def extract_columns(spark, d):
     return sources.extract_columns(df, ["c_custkey"], [df.columns.index("c_mktsegment") + 1])
 
 
-@query("format_source", "SELECT s_suppkey - 1 AS jedi_id, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE concat('Genus ', s_name) END AS \"scientificName\", 'Animalia' AS kingdom FROM supplier")
+@query("format_source", "SELECT s_suppkey AS jedi_id, CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE concat('Genus ', s_name) END AS \"scientificName\", 'Animalia' AS kingdom FROM supplier")
 def format_source(spark, d):
     df = _table(spark, d, "supplier").orderBy("s_suppkey").selectExpr("CASE WHEN s_suppkey % 3 = 0 THEN 'n/a' ELSE s_name END AS rank_species", "'Genus' AS rank_genus")
     return sources.ADAPTERS["jedi"](df).select("jedi_id", "scientificName", "kingdom")
