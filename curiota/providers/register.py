@@ -64,7 +64,7 @@ def lookup_names(names: DataFrame, make: Callable[[], RegisterProvider], workers
             for lo in range(0, len(queries), BATCH):
                 part = queries[lo : lo + BATCH]
                 rows = [{"query": q, **r} for q, found in zip(part, ask(part), strict=True) for r in found]
-                yield pd.DataFrame(rows, columns=["query", *FIELD_NAMES])
+                yield pd.DataFrame(rows, columns=["query", *FIELD_NAMES], dtype=object)
 
     distinct = names.select("query").where(F.col("query").isNotNull()).distinct().repartition(workers)
     return distinct.mapInPandas(run, f"query string, {FIELDS}")
@@ -81,7 +81,7 @@ def lookup_ids(ids: DataFrame, make: Callable[[], RegisterProvider], workers: in
             for lo in range(0, len(wanted), BATCH):
                 part = wanted[lo : lo + BATCH]
                 rows = [r if r else {"AphiaID": i, "match_type": "match_quarantine"} for i, r in zip(part, ask(part), strict=True)]
-                yield pd.DataFrame(rows, columns=FIELD_NAMES)
+                yield pd.DataFrame(rows, columns=FIELD_NAMES, dtype=object)
 
     distinct = ids.select("id").where(F.col("id").isNotNull()).distinct().repartition(workers)
     return distinct.mapInPandas(run, FIELDS)
