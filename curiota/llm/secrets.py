@@ -30,6 +30,20 @@ TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?![A-Za-z0-9+/_-])"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
 REDACTED = "[SECRET]"
 
+#: Words of ordinary identifiers, the labelled sample that every model learns from.
+ORDINARY = """
+account action address amount answer application array attribute author average balance before begin between binary block
+body boolean buffer button cache calendar callback category change channel character check child class clear client clock
+close cluster code collection color column command comment commit common compare component compute condition config
+connection constant container content context control convert copy count create current cursor customer data database date
+decode default delete delta description design detail device dictionary directory display distance document domain double
+driver duration dynamic edge element empty enable encode entity entry error event example exception execute export extend
+external factory field file filter find first format forward frame function general generate global graph group handler
+header height history identifier image import index information initial input insert instance integer interface internal
+interval invalid item iterator join key label language last layer length level library line link list load local location
+logger manager mapping margin master match matrix maximum measure memory message method minimum model module monitor
+""".split()
+
 
 def _matches(text: Column, pattern: str, kind: int, keep=None) -> Column:
     """Spans of all leftmost non-overlapping matches, as array<struct<s,k,e,w>>."""
@@ -102,11 +116,13 @@ def train(samples: DataFrame, threshold: float = 6.0) -> MarkovModel:
 
 
 def labelled_samples(spark: SparkSession, documents: DataFrame, rows: int, text_col: str = "text") -> DataFrame:
-    """Random strings from a seeded rule, ordinary identifiers from words of at most ``rows`` texts.
+    """Random strings from a seeded rule, ordinary identifiers from a fixed list and words of at most ``rows`` texts.
 
     The ordinary side holds single words and pairs of neighbours joined as
     snake case and camel case; words with digits are left out.
     """
+    listed = [ORDINARY[i] + j + x for i in range(len(ORDINARY)) for k in (1, 7, 31) for y in [ORDINARY[(i + k) % len(ORDINARY)]] for j, x in (("_", y), ("", y.capitalize()), ("-", y))]
+    fixed = spark.range(1).select(F.explode(F.split(F.lit(" ".join(listed)), " ")).alias("text"), F.lit(0).alias("label"))
     digest = F.sha2(F.concat(F.lit("sample-"), F.col("id").cast("string")), 256)
     random = spark.range(4000).select(
         F.when(F.col("id") % 3 == 0, F.substring(digest, 1, 40))
@@ -121,7 +137,7 @@ def labelled_samples(spark: SparkSession, documents: DataFrame, rows: int, text_
         "w", F.slice("w", 2, 400), lambda a, b: F.concat(a, F.lit("_"), F.coalesce(b, F.lit("id")), F.initcap(F.coalesce(b, F.lit("id"))), a)
     )
     ordinary = words.select(F.explode(F.concat("w", joined)).alias("text"), F.lit(0).alias("label"))
-    return random.unionByName(ordinary)
+    return random.unionByName(ordinary).unionByName(fixed)
 
 
 def _with_spans(staged: DataFrame, model: MarkovModel) -> DataFrame:
