@@ -14,7 +14,8 @@ A null text counts as empty; a text without features has the empty fingerprint.
 In texts
 below ``SHORT`` bytes every run of ``SHORT_WIDTH`` bytes is a feature, and in
 medium ones the stretch is shorter, so that few bytes still give a digest.  Equal fingerprints have likeness
-1, an empty one has likeness 0 to any other.
+1, an empty one has likeness 0 to any other.  Rows without an id have no place
+in the order of documents and are left out of :func:`against_next`.
 """
 
 from __future__ import annotations
@@ -180,6 +181,7 @@ def against_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     spark = df.sparkSession
     docs = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    docs = docs.where("id IS NOT NULL")
     ranks = rank_table(class_histogram(docs))
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     cuts = docs.approxQuantile("id", [i / parts for i in range(1, parts)], 1 / (4 * parts)) if parts > 1 else []

@@ -6,7 +6,8 @@ points found in at least ``min_docs`` documents lose all their lines except
 those of the largest id that holds them.
 
 A null or empty text is one empty line.  Rows that repeat an id are one
-document for counting, and each loses the same keys.  Keys travel as two
+document for counting, and each loses the same keys; rows without an id count
+as one document together and lose nothing.  Keys travel as two
 64-bit hashes.  Counting is pre-aggregated per task, first by key and document
 and then by key, so a line that a third of all documents hold is a handful of
 partial counts; dropping is an equality join whose large partitions Spark can

@@ -8,7 +8,7 @@ widened gap more tightly.  Tokens never leave the task that made them; rows of
 a few numbers travel.
 
 A null text counts as empty; an empty document is its end token alone.  Rows
-that repeat an id are packed each on its own.  Equal lengths go by id and piece.
+that repeat an id, or have none, are packed each on its own.  Equal lengths go by id and piece.
 """
 
 from __future__ import annotations

@@ -7,7 +7,7 @@ later rules are not evaluated once one has rejected it.  The order never
 changes the verdict.
 
 A null text has no words and is rejected by the word-count rule, like an empty
-one.  Rows are independent; an empty table gives an empty result.  Words are
+one.  Rows are independent (ids may repeat or be null); an empty table gives an empty result.  Words are
 runs of characters other than space, tab, line feed, vertical tab, form feed
 and carriage return.
 """

@@ -7,7 +7,8 @@ tokens above the threshold are added as spans of kind ``markov``.  Both models
 are trained from labelled samples.
 
 Positions are code points, ends exclusive; a span is a whole match.  A null
-text counts as empty and has no spans.  Rows are independent.
+text counts as empty and has no spans.  Rows are independent; ids may repeat or
+be null.
 """
 
 from __future__ import annotations

@@ -15,7 +15,9 @@ alternating large-star and small-star rounds.
 Words are runs of bytes other than space, tab, line feed, vertical tab, form
 feed and carriage return, with A-Z lower-cased.  A null text counts as empty;
 texts without words have fingerprint zero and link like any other.  Rows that
-repeat an id are one document.  Ties in a bit (exactly half) give 0.
+repeat an id are one document.  Rows without an id get the component of their
+fingerprint but never name one, so they go where one document of each group
+stays.  Ties in a bit (exactly half) give 0.
 """
 
 from __future__ import annotations

@@ -24,11 +24,11 @@ Words are runs of bytes other than space, tab, line feed, vertical tab, form
 feed and carriage return, unchanged.  A null text has no words.  Rows that
 repeat id and text are one document and lose the same words; different texts
 with one id are told apart by a hash of the text, which also breaks their tie.
+Rows without an id come before all others and lose nothing.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections import defaultdict
 from collections.abc import Iterator
 
@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curiota.llm.arrow import map_columns
+from curiota.llm.arrow import ensure_checkpoint_dir, map_columns
 
 #: Words of an anchor; at most the window.
 GRAM = 10
@@ -359,8 +359,6 @@ def removed_windows(df: DataFrame, window: int) -> DataFrame:
 
 def dedup_substrings(df: DataFrame, window: int = 20, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n_words, n_removed, kept_text``: kept words joined by one space.  Ids are integers."""
-    from curiota.llm.arrow import ensure_checkpoint_dir
-
     ensure_checkpoint_dir(df.sparkSession)
     docs = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     gone = removed_windows(docs, window).groupBy("id", "text_hash").agg(F.collect_list(F.struct("start", "n")).alias("gone"))
@@ -396,7 +394,3 @@ def dedup_substrings(df: DataFrame, window: int = 20, id_col: str = "doc_id", te
 
 def digest(deduped: DataFrame, id_col: str = "doc_id") -> DataFrame:
     return deduped.select(id_col, "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
-
-
-def sha256_of(words: list[bytes]) -> str:
-    return hashlib.sha256(b" ".join(words)).hexdigest()

@@ -13,7 +13,9 @@ copies, for instance) are never taken.  A text's score is the smoothed
 precision of its best rule, or a value below one half if no rule holds.
 
 A null or empty text has no words and gets the lowest score.  Rows are
-independent.  Labels of rows that repeat an id count as positive if any is.
+independent; a row without an id is scored and is neither held out nor trained
+on.  Labels of rows that repeat an id count as positive if any is, null labels
+do not count.
 """
 
 from __future__ import annotations

@@ -349,3 +349,20 @@ def test_hashes_agree_with_spark(spark):
     assert lines._key_hash("some key é") != (r.a, r.b)
     r = df.select(F.xxhash64(lines.line_key(F.col("k"))).alias("a"), F.xxhash64(F.lit(1), lines.line_key(F.col("k"))).alias("b")).first()
     assert lines._key_hash("Some key é") == (r.a, r.b)
+
+
+def test_rows_without_an_id(spark):
+    line = "this line is long enough to be counted as one of many"
+    text = "\n".join([line, " ".join(f"w{i}" for i in range(40))])
+    docs = table(spark, [(None, text), (None, text), *((i, text) for i in range(6))])
+    model = secrets.train(secrets.labelled_samples(spark, docs, 10))
+    labels = spark.createDataFrame([(1, 1), (1, None), (None, 1), (2, 0)], "doc_id bigint, toxic int")
+    assert secrets.scan(docs, model).count() == codec.round_trip_digest(docs, BYTE).count() == token_count.count_tokens(docs, BYTE).count() == 8
+    assert quality.cascade(docs).count() == packing.pack_documents(docs, WORD).count() == toxicity.toxicity(docs, labels).count() == 8
+    assert {r.component_id for r in simhash.near_duplicates(docs).collect()} == {0}
+    assert {r.doc_id for r in simhash.drop_near_duplicates(docs).collect()} == {0}
+    assert fingerprint.against_next(docs).count() == 6
+    gone = sorted((r.doc_id is not None, r.n_removed) for r in substring.dedup_substrings(docs).collect())
+    assert gone == [(False, 0)] * 2 + [(True, len(text.split()))] * 6
+    dropped = sorted((r.doc_id if r.doc_id is not None else -1, r.n_dropped) for r in lines.dedup_lines(docs).collect())
+    assert dropped == [(-1, 0), (-1, 0), *((i, 2) for i in range(5)), (5, 0)]
