@@ -29,7 +29,7 @@ BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N
 #: Characters of a text that are segmented at a time.
 SEGMENT = 1 << 16
 #: Entries of a generation of a memo; bounds a worker's memory.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 300_000
 _NONE = 1 << 60
 
 
