@@ -36,8 +36,8 @@ def let(value: Column, body) -> Column:
 
 def month_number(word: Column) -> Column:
     """Month of a lower-case ASCII month word; null for other words.  The lookup table is one literal."""
-    pairs = [F.lit(x) for n, words in MONTHS.items() for w in words for x in (w, n)]
-    return F.try_element_at(F.create_map(*pairs), word)
+    pairs = ", ".join(f"'{w}', {n}" for n, words in MONTHS.items() for w in words)
+    return F.try_element_at(F.expr(f"map({pairs})"), word)
 
 
 def is_leap(year: Column) -> Column:
