@@ -21,9 +21,9 @@ def main() -> None:
     plan, config = load(args.plan)
     spark = SparkSession.builder.appName("curiota").getOrCreate()
     began, statistics = time.time(), []
-    source = with_row_id(read_auto(spark, args.input or config["inputfile"], config.get("sep", "\t")))
+    source = with_row_id(read_auto(spark, args.input or config.get("inputfile") or config["inputfile_path"], config.get("sep", "\t")))
     out = plan.apply(source, statistics=statistics)
-    write_text(out, args.output or config["outputfile"], mode="overwrite")
+    write_text(out, args.output or config.get("outputfile") or f"{config.get('outputdir_path', '.')}/{config['outputfile_path']}", mode="overwrite")
     print(dtypes_json(out))
     steps = [{"column": c, "operator": o, "rows": seen.get["rows"]} for c, o, seen in statistics]
     print(json.dumps({"seconds": round(time.time() - began, 1), "steps": steps}))

@@ -28,13 +28,18 @@ from curiota.functions.naming import current
 from curiota.functions.nulls import stdnan
 from curiota.operators.registry import REGISTRY, Operator
 from curiota.operators.transforms import cast_to, select_columns
+from curiota.plans.steps import ENGINE_ONLY, known
 
 MULTI = "tool"
 #: Land filters reduce rows before anything else; review comes first afterwards.
-FIRST = ("island", "marineloc")
+FIRST = ("format", "marineloc", "island")
 REVIEW = "resolvetaxamatch"
 
 
+#: Where a plan reads and writes; the command line uses them.
+PATHS = ("inputfile", "outputfile", "sep", "inputfile_path", "inputdir_path", "outputdir_path", "outputfile_path")
+
+
 class PlanError(ValueError):
     """A plan that cannot run, found before any data is read."""
 
@@ -46,7 +51,9 @@ class Step:
     parameters: dict
 
     def __call__(self, df: DataFrame, resources: dict) -> DataFrame:
-        given = {k: resources.get(v[1:], v) if isinstance(v, str) and v.startswith("$") else v for k, v in self.parameters.items()}
+        defaults = {k: p.default for k, p in self.operator.parameters.items() if isinstance(p.default, str) and p.default.startswith("$")}
+        given = defaults | self.parameters
+        given = {k: resources.get(v[1:], v) if isinstance(v, str) and v.startswith("$") else v for k, v in given.items()}
         args = [] if self.column == MULTI else [self.column]
         return self.operator.function(df, *args, **given)
 
@@ -60,7 +67,7 @@ class CurationPlan:
 
     def normalize(self) -> CurationPlan:
         """Row-reducing land filters to the front, review to the front of postprocessing."""
-        self.processing.sort(key=lambda s: s.operator.name not in FIRST)
+        self.processing.sort(key=lambda s: FIRST.index(s.operator.name) if s.operator.name in FIRST else len(FIRST))
         self.postprocessing.sort(key=lambda s: s.operator.name != REVIEW)
         return self
 
@@ -94,29 +101,42 @@ def _steps(section, allowed: set[str], where: str) -> list[Step]:
         for entry in operators if isinstance(operators, list) else [operators]:
             entry = {entry: {}} if isinstance(entry, str) else entry
             for name, parameters in entry.items():
-                known = REGISTRY.get(name)
-                if known is None or known.kind not in allowed:
+                meant = known(name)
+                if meant is None or meant.kind not in allowed:
                     raise PlanError(f"{where}: {name} is not an operator of this section")
-                if known.keyed == (column == MULTI):
-                    raise PlanError(f"{where}: {name} goes under {'a column' if known.keyed else MULTI!r}")
-                parameters = {k: _boolean(v) for k, v in (parameters or {}).items()}
+                if meant.keyed == (column == MULTI):
+                    raise PlanError(f"{where}: {name} goes under {'a column' if meant.keyed else MULTI!r}")
+                parameters = {k: _boolean(v) for k, v in (parameters or {}).items() if k in meant.parameters or k not in ENGINE_ONLY}
                 try:
-                    known.check(parameters)
+                    meant.check(parameters)
                 except TypeError as error:
                     raise PlanError(f"{where}: {error}") from None
-                out.append(Step(column, known, parameters))
+                out.append(Step(column, meant, parameters))
     return out
 
 
+def _variable(how) -> dict:
+    """``type``, ``{rename: …, type: …}`` or ``{new name: type}``."""
+    if isinstance(how, str):
+        return {"type": how}
+    how = dict(how or {})
+    if set(how) <= {"rename", "type"}:
+        return how
+    (name, kind), *rest = how.items()
+    if rest:
+        raise PlanError(f"variables: one new name expected, got {sorted(how)}")
+    return {"rename": name} | ({"type": kind} if kind else {})
+
+
 def from_dict(config: dict) -> CurationPlan:
     """Validate a plan; every problem is a :class:`PlanError` before anything runs."""
     data = config.get("data", config)
-    if unknown := sorted(set(data) - {"processing", "postprocessing", "variables", "standardize_missing", "inputfile", "outputfile", "sep"}):
+    if unknown := sorted(set(data) - {"processing", "postprocessing", "variables", "standardize_missing", *PATHS}):
         raise PlanError(f"unknown sections {unknown}")
     variables = {}
     raw = data.get("variables") or {}
     for key, how in raw.items() if isinstance(raw, dict) else [kv for e in raw for kv in (e.items() if isinstance(e, dict) else [(e, {})])]:
-        variables[key] = {"type": how} if isinstance(how, str) else dict(how or {})
+        variables[key] = _variable(how)
     return CurationPlan(
         _steps(data.get("processing"), {"selection", "transformation"}, "processing"),
         _steps(data.get("postprocessing"), {"postprocessing", "selection", "transformation"}, "postprocessing"),

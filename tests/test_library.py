@@ -253,3 +253,27 @@ def test_streams_take_row_local_plans(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
     with pytest.raises(PlanError):
         apply_stream(from_dict({"postprocessing": [{"c": [{"lowerbound": {"limit": 1}}]}]}), stream)
+
+
+def test_plan_file_shapes(spark):
+    config = {
+        "data": {
+            "inputfile_path": "x", "outputfile_path": "y",
+            "processing": [
+                {"decimalLatitude": [{"isboundedby": {"operator": "<=", "value": 90}}]},
+                {"tool": [{"marineloc": {"latkey": "decimalLatitude", "lonkey": "decimalLongitude", "parallel": True, "filterfile": "f"}}]},
+                {"scientificName": [{"createwormsfilters": {"resume": True}}, {"isinworms": {"rank_mapping": {"scientificname": "scientificName", "cls": "class"}, "flag": "True", "inplace": True}}]},
+            ],
+            "postprocessing": [{"tool": [{"taxasubset": {"lowerbound": 2, "flag": True, "specieskey": "AphiaID_generatedby_isinworms"}}]}],
+            "variables": [{"decimalLatitude": {"latitude": "float"}}, "class"],
+        }
+    }
+    plan = from_dict(config)
+    assert [s.operator.name for s in plan.processing] == ["marineloc", "isboundedby", "createwormsfilters", "isinworms"]
+    df = spark.createDataFrame([("80", "0", "Gadus morhua", "Teleostei"), ("80", "1", "Gadus morhua", "Teleostei"), ("0", "0", "Gadus morhua", None)], "decimalLatitude string, decimalLongitude string, scientificName string, class string")
+    record = CANDIDATE | {"AphiaID": 1, "class": "Teleostei", "rank": "Species", "order": None, "phylum": None}
+    register = spark.createDataFrame([[record.get(c) for c in R.FIELD_NAMES] + ["Gadus morhua"]], R.FIELDS + ", `group` string")
+    out = plan.apply(df, {"world": synthetic_world(36), "register": register})
+    rows = out.collect()
+    assert len(rows) == 2 and rows[0]["latitude"] == 80.0 and rows[0]["AphiaID_generatedby_isinworms"] == 1
+    assert rows[0]["classif_match_generatedby_isinworms"] == "match" and rows[0]["flag_taxasubset_isabove_2"] is True
