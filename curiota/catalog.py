@@ -604,6 +604,12 @@ def marineloc(spark, d):
     return out.where("lat NOT IN (-45, 45) AND lon NOT IN (-90, 90)").select("l_orderkey", "l_linenumber")
 
 
+@query("marineloc_whole")
+def marineloc_whole(spark, d):
+    """Every row at sea, boundaries included; a brute-force test stands in for SQL."""
+    return marine.marineloc(occurrences(spark, d), "lat", "lon", synthetic_world(36)).select("l_orderkey", "l_linenumber")
+
+
 @query("createmarinefilter")
 def createmarinefilter(spark, d):
     df = occurrences(spark, d).withColumn("row_id", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
@@ -706,6 +712,13 @@ def register_lookup(spark, d):
     return register.table_lookup(r.select(F.col("group").alias("query")), r).select("AphiaID", "valid_AphiaID")
 
 
+@query("register_lookup_whole")
+def register_lookup_whole(spark, d):
+    """The whole register, records that point at another one included; a brute-force test stands in for SQL."""
+    r = _register(spark, d).withColumn("group", F.col("AphiaID").cast("string"))
+    return register.table_lookup(r.select(F.col("group").alias("query")), r).select("AphiaID", "valid_AphiaID")
+
+
 @query("classification_wide", "SELECT n_nationkey AS AphiaID, 100 + n_regionkey AS kingdom_AphiaID, n_nationkey AS genus_AphiaID FROM nation")
 def classification_wide(spark, d):
     tree = """to_json(named_struct('AphiaID', 100 + n_regionkey, 'rank', 'Kingdom', 'scientificname', 'k', 'child', named_struct('AphiaID', n_nationkey, 'rank', 'Genus', 'scientificname', n_name)))"""
@@ -725,6 +738,12 @@ def fold_query(spark, d):
     return docs.select("doc_id", fold(F.col("text")).alias("folded"))
 
 
+@query("fold_whole")
+def fold_whole(spark, d):
+    """Every document and its whole text, null texts included; a brute-force test stands in for SQL."""
+    return _table(spark, d, "documents").select("doc_id", fold(F.col("text")).alias("folded"))
+
+
 # sources and plans ------------------------------------------------------------------------------
 
 

@@ -5,6 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from curiota import catalog
 from curiota.analytics import species
 from curiota.functions import names as N
 from curiota.functions.dates import partial_parts
@@ -277,3 +278,27 @@ def test_plan_file_shapes(spark):
     rows = out.collect()
     assert len(rows) == 2 and rows[0]["latitude"] == 80.0 and rows[0]["AphiaID_generatedby_isinworms"] == 1
     assert rows[0]["classif_match_generatedby_isinworms"] == "match" and rows[0]["flag_taxasubset_isabove_2"] is True
+
+
+def test_whole_fold(spark, tmp_path):
+    special = "ßæÆœŒøØđĐłŁðÐþÞı×’‘“”–—"
+    plain = "ss ae AE oe OE o O d D l L d D th Th i x ' ' \" \" - -".split()
+    rows = [(i, f"a{c}é{c}日") for i, c in enumerate(special)] + [(100, None), (101, ""), (102, "ø" + "x" * 150_000 + "Łß")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.folded for r in catalog.queries()["fold_whole"](spark, str(tmp_path)).collect()}
+    expected = {i: f"a{p}e{p}日" for i, p in enumerate(plain)} | {100: None, 101: "", 102: "o" + "x" * 150_000 + "Lss"}
+    assert got == expected
+
+
+def test_whole_marineloc_and_lookup(spark):
+    d = "/root/testdata/sf0.001"
+    places = catalog.occurrences(spark, d).select("l_orderkey", "l_linenumber", "lat", "lon").collect()
+    valid = [r for r in places if r.lat is not None and r.lon is not None and -90 <= r.lat <= 90 and -180 <= r.lon <= 180]
+    sea = sorted((r.l_orderkey, r.l_linenumber) for r in valid if not (-45 <= r.lat < 45 and -90 <= r.lon < 90))
+    assert any(r.lat == 45 or abs(r.lon) == 90 for r in valid)
+    assert values(catalog.queries()["marineloc_whole"](spark, d), "l_orderkey", "l_linenumber") == sea
+
+    keys = [r.s_suppkey for r in spark.read.parquet(f"{d}/supplier.parquet").select("s_suppkey").collect()]
+    points = {k: k - 1 if k % 4 == 0 and k > 0 else k for k in keys} | {k: 24 - k for k in keys if k in (8, 16)}
+    assert any(k % 4 == 0 for k in keys)
+    assert values(catalog.queries()["register_lookup_whole"](spark, d), "AphiaID", "valid_AphiaID") == sorted(points.items())
