@@ -15,9 +15,9 @@ alternating large-star and small-star rounds.
 Words are runs of bytes other than space, tab, line feed, vertical tab, form
 feed and carriage return, with A-Z lower-cased.  A null text counts as empty;
 texts without words have fingerprint zero and link like any other.  Rows that
-repeat an id are one document.  Rows without an id get the component of their
-fingerprint but never name one, so they go where one document of each group
-stays.  Ties in a bit (exactly half) give 0.
+repeat an id are one document.  Components are built on fingerprints, so rows
+without an id connect like any other; they never name a component that has ids.
+Ties in a bit (exactly half) give 0.
 """
 
 from __future__ import annotations
@@ -172,6 +172,12 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     return current.toDF("node", "root")
 
 
+def _rooted(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``fp, root``: every fingerprint with the smallest one that ``edges`` (a, b) connect it to."""
+    roots = components(edges.toDF("u", "v"))
+    return nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(
     df: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -179,16 +185,12 @@ def near_duplicates(
     ensure_checkpoint_dir(df.sparkSession)
     prints = fingerprints(df, shingle, id_col, text_col).checkpoint()
     classes = prints.groupBy("fp").agg(F.min("id").alias("first_id"))
-    near = links(classes.select("fp"), distance)
-    by = lambda c, n: classes.select(F.col("fp").alias(c), F.col("first_id").alias(n))
-    edges = near.join(by("a", "u"), "a").join(by("b", "v"), "b").select("u", "v")
     # an id that stands for several fingerprints joins them
-    several = prints.groupBy("id").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("id")
-    own = prints.join(several, "id").join(classes, "fp").select(F.col("id").alias("u"), F.col("first_id").alias("v"))
-    roots = components(edges.union(own))
-    labelled = classes.join(roots, F.col("first_id") == F.col("node"), "left").select(
-        F.col("fp").alias("class_fp"), F.coalesce("root", "first_id").alias("component_id")
-    )
+    several = prints.groupBy("id").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi")).where("lo <> hi").select("id", "lo")
+    own = prints.join(several, "id").select(F.col("lo").alias("a"), F.col("fp").alias("b"))
+    rooted = _rooted(classes, links(classes.select("fp"), distance).union(own)).join(classes, "fp")
+    firsts = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    labelled = rooted.join(firsts, "root").select(F.col("fp").alias("class_fp"), "component_id")
     return prints.join(labelled, F.col("fp") == F.col("class_fp")).select(
         F.col("id").alias(id_col), hexadecimal(F.col("fp")).alias("fingerprint"), "component_id"
     )
@@ -197,7 +199,28 @@ def near_duplicates(
 def drop_near_duplicates(
     df: DataFrame, shingle: int = 3, distance: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """The rows of ``df``, with all their columns, of the smallest id of every component."""
-    marked = near_duplicates(df, shingle, distance, id_col, text_col)
-    first = marked.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("__first")).distinct()
-    return df.join(first, F.col(f"`{id_col}`") == F.col("__first"), "left_semi")
+    """One row of ``df``, with all its columns, of every component of texts.
+
+    It is the row of the smallest id, nulls last, then of the smallest hash of its columns; rows that repeat an id
+    with another text are documents of their own.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    kind = df.schema[id_col].dataType
+    hashed = [F.col(f"`{f.name}`") for f in df.schema if "map<" not in f.dataType.simpleString()]
+    key = {
+        "__none": F.col(f"`{id_col}`").isNull(),
+        "__own": F.coalesce(F.col(f"`{id_col}`"), F.lit("0").cast(kind)),
+        "__hash": F.xxhash64(*hashed),
+    }
+
+    def make():
+        return lambda none, own, hashes, texts: [none, own, hashes, [_signed(fingerprint(t, shingle)) for t in texts]]
+
+    keyed = df.withColumns(key)
+    schema = f"__none boolean, __own {kind.simpleString()}, __hash bigint, fp bigint"
+    prints = map_columns(keyed, [*key, text_col], make, schema).checkpoint()
+    classes = prints.groupBy("fp").agg(F.min(F.struct(*key)).alias("first"))
+    rooted = _rooted(classes.select("fp"), links(classes.select("fp"), distance))
+    firsts = rooted.join(classes, "fp").groupBy("root").agg(F.min("first").alias("first")).select("first.*")
+    # rows alike in all columns share a key; the join has sorted them, so one stays without another shuffle
+    return keyed.join(firsts, list(key), "left_semi").dropDuplicates(list(key)).select(*(f"`{c}`" for c in df.columns))

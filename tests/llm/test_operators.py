@@ -366,3 +366,25 @@ def test_rows_without_an_id(spark):
     assert gone == [(False, 0)] * 2 + [(True, len(text.split()))] * 6
     dropped = sorted((r.doc_id if r.doc_id is not None else -1, r.n_dropped) for r in lines.dedup_lines(docs).collect())
     assert dropped == [(-1, 0), (-1, 0), *((i, 2) for i in range(5)), (5, 0)]
+
+
+def test_one_row_of_each_group_stays(spark, monkeypatch):
+    # fingerprints that a row without an id connects: 0, 0b111 and 0b111111 at 3 bits
+    prints = {"a": 0, "b": 0b111, "c": 0b111111, "lone": (1 << 10) - 1 << 20, "twin": (1 << 20) - 1 << 40, "other": (1 << 30) - 1}
+    rows = [(4, "a"), (None, "b"), (3, "c"), (None, "lone"), (None, "twin"), (None, "twin"), (9, "other"), (9, "other")]
+    docs = table(spark, rows)
+    edges = [(prints["a"], prints["b"]), (prints["b"], prints["c"])]
+    monkeypatch.setattr(simhash, "map_columns", lambda df, columns, make, schema: _marked(df, columns, prints))
+    monkeypatch.setattr(simhash, "links", lambda *_: spark.createDataFrame(edges, "a bigint, b bigint"))
+    kept = simhash.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, "lone"), (0, "twin"), (3, "c"), (9, "other")]
+    near = {(r.doc_id, r.fingerprint): r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert {near[k, f"{prints[t]:016x}"] for k, t in rows[:3]} == {3}
+
+
+def _marked(df, columns, prints):
+    fp = F.lit(None).cast("bigint")
+    for text, x in prints.items():
+        fp = F.when(F.col("text") == text, F.lit(x).cast("bigint")).otherwise(fp)
+    return df.select(*(c for c in columns if c != "text"), fp.alias("fp"))
