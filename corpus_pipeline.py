@@ -23,8 +23,8 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group stays."""
-    return simhash.drop_near_duplicates(docs, shingle=3, distance=DISTANCE)
+    """The first document of each group stays; five-word-shingle similarity of 0.8 links too, at any distance."""
+    return simhash.drop_near_duplicates(docs, shingle=3, distance=DISTANCE, similar=True)
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

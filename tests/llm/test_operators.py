@@ -383,6 +383,25 @@ def test_one_row_of_each_group_stays(spark, monkeypatch):
     assert {near[k, f"{prints[t]:016x}"] for k, t in rows[:3]} == {3}
 
 
+def test_similar_texts_are_linked_at_any_distance(spark):
+    rng = random.Random(3)
+    shingles = lambda t: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)}
+    rows, pairs = [], []
+    for i in range(400):
+        words = [f"w{rng.randint(0, 5000)}" for _ in range(80)]
+        near = words[:]
+        near[rng.randrange(4, 76)] = "other"
+        a, b = shingles(" ".join(words)), shingles(" ".join(near))
+        assert len(a & b) >= 0.8 * len(a | b)
+        far = (simhash.fingerprint(" ".join(words)) ^ simhash.fingerprint(" ".join(near))).bit_count()
+        if far > 5:
+            pairs.append(far)
+            rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(near))]
+    assert len(pairs) > 10
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(table(spark, rows), 3, 5, similar=True).collect()}
+    assert kept == {i for i, _ in rows if i % 2 == 0}
+
+
 def _marked(df, columns, prints):
     fp = F.lit(None).cast("bigint")
     for text, x in prints.items():
