@@ -39,15 +39,17 @@ SIGNS = {
 FILLERS = "*.-_~^'"
 #: Log costs of the channel.
 SIGN_COST, FILLER_COST, COLLAPSE_COST = -1.0, -0.5, -0.5
-#: Bounds: labelled rows that train, candidate features, character trigrams, prefix lengths, token length.
+#: Bounds: labelled rows that train, candidate features, character trigrams, prefix lengths, tokens whose reading is remembered.
 TRAIN_ROWS = 20_000
 CANDIDATES = 50_000
 TRIGRAMS = 100_000
 PREFIXES = (4, 5, 6, 7)
-LONGEST = 24
+MEMO_LENGTH = 64
 
 _WORD = re.compile(r"[^\W\d_]+")
 _STRETCHED = re.compile(r"\w*?([^\W\d_])\1\1\w*")
+_READABLE = re.compile(rf"(?:[^\W\d_]|[{re.escape(''.join(SIGNS) + FILLERS)}])+")
+_PARTS = frozenset(FILLERS + " ")
 _APART = re.compile(r"(?<!\w)[^\W\d_](?:[ .\-_*][\w@$!|+]){2,}(?!\w)")
 
 
@@ -59,6 +61,7 @@ class CharacterModel:
     two: dict[str, float] = field(default_factory=dict)
     one: dict[str, float] = field(default_factory=dict)
     total: float = 1.0
+    seen: dict[str, float] = field(default_factory=dict, repr=False)
 
     @classmethod
     def of(cls, counts: dict[str, float]) -> CharacterModel:
@@ -69,6 +72,14 @@ class CharacterModel:
         return cls(counts, two, one, sum(one.values()) + 1.0)
 
     def log(self, before: str, c: str) -> float:
+        found = self.seen.get(before + c)
+        if found is None:
+            if len(self.seen) > 200_000:
+                self.seen.clear()
+            found = self.seen[before + c] = self._log(before, c)
+        return found
+
+    def _log(self, before: str, c: str) -> float:
         context = self.two.get(before, 0.0)
         low = (self.one.get(c, 0.0) + 0.5) / (self.total + 50)
         return math.log((self.three.get(before + c, 0.0) + 5.0 * low) / (context + 5.0))
@@ -76,12 +87,11 @@ class CharacterModel:
 
 def lattice(token: str) -> list[list[tuple[str, float, int]]]:
     """Edges (letters, log cost, characters consumed) that start at each character."""
-    out = []
-    for i, c in enumerate(token):
+    out, run = [], 0
+    for i in range(len(token) - 1, -1, -1):
+        c = token[i]
+        run = run + 1 if i + 1 < len(token) and token[i + 1] == c else 1
         edges = []
-        run = 1
-        while i + run < len(token) and token[i + run] == c:
-            run += 1
         if c.isalpha():
             edges.append((c, 0.0, 1))
             if run >= 3:
@@ -91,27 +101,39 @@ def lattice(token: str) -> list[list[tuple[str, float, int]]]:
             if c in FILLERS or c == " ":
                 edges.append(("", FILLER_COST, 1))
         out.append(edges)
-    return out
+    return out[::-1]
 
 
-def decode(token: str, model: CharacterModel) -> str | None:
-    """The likeliest plain reading of a lower-case token, or None if it has none."""
-    edges = lattice(token)
-    best: list[dict[str, tuple[float, str]]] = [{} for _ in range(len(token) + 1)]
-    best[0]["^^"] = (0.0, "")
-    for i, starts in enumerate(edges):
-        for state, (score, text) in best[i].items():
+def decode(token: str, model: CharacterModel, breaks: bool = False) -> str | None:
+    """The likeliest plain reading of a lower-case token, or None if it has none.
+
+    With ``breaks``, signs that may stand for nothing may also end a word.  Readings are chains of letters, so the
+    search takes time and memory in proportion to the token.
+    """
+    waiting: dict[int, dict[str, tuple[float, tuple | None]]] = {0: {"^^": (0.0, None)}}
+    for i, starts in enumerate(lattice(token)):
+        for state, (score, chain) in waiting.pop(i, {}).items():
             for letters, cost, width in starts:
                 s, at = score + cost, state
                 for c in letters:
                     s += model.log(at, c)
                     at = at[1] + c
-                known = best[i + width].get(at)
-                if known is None or s > known[0]:
-                    best[i + width][at] = (s, text + letters)
-    if not best[-1]:
+                ends = waiting.setdefault(i + width, {})
+                if at not in ends or s > ends[at][0]:
+                    ends[at] = (s, (chain, letters) if letters else chain)
+                if breaks and not letters and state != "^^":
+                    s += model.log(at, "$")
+                    if "^^" not in ends or s > ends["^^"][0]:
+                        ends["^^"] = (s, (chain, " "))
+    last = waiting.get(len(token))
+    if not last:
         return None
-    return max((score + model.log(state, "$"), text) for state, (score, text) in best[-1].items())[1]
+    chain = max(((score + model.log(state, "$"), state, chain) for state, (score, chain) in last.items()), key=lambda x: x[:2])[2]
+    out = []
+    while chain is not None:
+        chain, letters = chain
+        out.append(letters)
+    return "".join(reversed(out))
 
 
 class Restorer:
@@ -119,38 +141,43 @@ class Restorer:
 
     def __init__(self, model: CharacterModel):
         self.model = model
-        self.known: dict[str, str | None] = {}
-
-    def reading(self, token: str) -> str | None:
-        if token not in self.known:
+        self.known: dict[str, tuple[str, ...]] = {}
+
+    def reading(self, token: str) -> tuple[str, ...]:
+        """The token as one word, and its words where signs inside it may part them."""
+        if token in self.known:
+            return self.known[token]
+        found = [decode(token, self.model) or ""]
+        if found[0] and not _PARTS.isdisjoint(token):
+            found += (decode(token, self.model, breaks=True) or "").split()
+        out = tuple(w for w in found if w)
+        if len(token) <= MEMO_LENGTH:
             if len(self.known) > 50_000:
                 self.known.clear()
-            self.known[token] = decode(token, self.model)
-        return self.known[token]
+            self.known[token] = out
+        return out
 
     def suspicious(self, text: str):
-        """Lower-case tokens that may be disguised words."""
+        """Lower-case tokens that may be disguised words: those that the lattice has an edge for at each character."""
         for token in text.split():
             if token.isalpha():
                 continue
             token = token.strip("\"'.,;:?()[]{}<>#%&*")
             core = token.rstrip("!")
-            letters = sum(map(str.isalpha, core))
-            if 2 * letters >= len(core) and letters < len(core) <= LONGEST:
-                yield core
+            # "!" at the end may end a sentence or stand for a letter
+            for word in {core, token}:
+                if not word.isalpha() and _READABLE.fullmatch(word):
+                    yield word
         for m in _STRETCHED.finditer(text):
-            if len(m[0]) <= 4 * LONGEST:
-                yield m[0]
+            yield m[0]
         for m in _APART.finditer(text):
-            if len(m[0]) <= 2 * LONGEST:
-                yield m[0]
+            yield m[0]
 
     def words(self, text: str | None) -> set[str]:
         low = (text or "").lower()
         out = set(_WORD.findall(low))
         for token in set(self.suspicious(low)):
-            if found := self.reading(token):
-                out.add(found)
+            out.update(self.reading(token))
         return out
 
 
@@ -172,7 +199,7 @@ def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
         def work(texts):
             seen: Counter[str] = Counter()
             for text in texts:
-                seen.update([w for w in (text or "").lower().split() if len(w) <= LONGEST and w.isalpha()])
+                seen.update([w for w in (text or "").lower().split() if len(w) <= 24 and w.isalpha()])
             return [list(seen), list(seen.values())]
 
         return work

@@ -407,3 +407,13 @@ def _marked(df, columns, prints):
     for text, x in prints.items():
         fp = F.when(F.col("text") == text, F.lit(x).cast("bigint")).otherwise(fp)
     return df.select(*(c for c in columns if c != "text"), fp.alias("fp"))
+
+
+def test_disguises_of_any_share_and_length(spark):
+    rows, labels = toxic_rows()
+    labels = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    disguised = ["see v1|3f00|", "v--i--l--e--f--o--o--l", "v" * 40 + "i" * 60 + "lefool", "t h e r i v e r v i l e f o o l h o u s e t r e e s t o n e", "2024 10:30 3.14"]
+    docs = table(spark, rows + [(1000 + i, t) for i, t in enumerate(disguised)])
+    out = by_id(toxicity.toxicity(docs, labels))
+    assert [out[1000 + i]["predicted"] for i in range(len(disguised))] == [1, 1, 1, 1, 0]
+    assert len(toxicity.decode("a1" * 50_000, toxicity.CharacterModel.of({"^^a": 1.0}))) == 100_000
