@@ -39,10 +39,9 @@ SIGNS = {
 FILLERS = "*.-_~^'"
 #: Log costs of the channel.
 SIGN_COST, FILLER_COST, COLLAPSE_COST = -1.0, -0.5, -0.5
-#: Bounds: labelled rows that train, candidate features, character trigrams, prefix lengths, tokens whose reading is remembered.
+#: Bounds: labelled rows that train, candidate features, prefix lengths, tokens whose reading is remembered.
 TRAIN_ROWS = 20_000
 CANDIDATES = 50_000
-TRIGRAMS = 100_000
 PREFIXES = (4, 5, 6, 7)
 MEMO_LENGTH = 64
 
@@ -193,13 +192,13 @@ def features(words: set[str]) -> set[str]:
 
 
 def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``word, n`` over all texts: lower-case words of letters only, added up per slice before the shuffle."""
+    """``word, n`` over all texts: lower-case runs of letters, added up per slice before the shuffle."""
 
     def make():
         def work(texts):
             seen: Counter[str] = Counter()
             for text in texts:
-                seen.update([w for w in (text or "").lower().split() if len(w) <= 24 and w.isalpha()])
+                seen.update(_WORD.findall((text or "").lower()))
             return [list(seen), list(seen.values())]
 
         return work
@@ -208,12 +207,12 @@ def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def character_model(df: DataFrame, text_col: str = "text") -> CharacterModel:
-    """Trigram counts of the corpus; the TRIGRAMS most frequent reach the driver."""
+    """Trigram counts of the corpus, all of them; their number grows with the scripts of the corpus, not with its size."""
     padded = F.concat(F.lit("^^"), F.col("word"), F.lit("$"))
     grams = word_counts(df, text_col).select(
         "n", F.explode(F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(padded, i, F.lit(3)))).alias("g")
     )
-    rows = grams.groupBy("g").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "g").limit(TRIGRAMS).collect()
+    rows = grams.groupBy("g").agg(F.sum("n").alias("n")).collect()
     return CharacterModel.of({r["g"]: float(r["n"]) for r in rows})
 
 

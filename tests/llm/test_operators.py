@@ -417,3 +417,18 @@ def test_disguises_of_any_share_and_length(spark):
     out = by_id(toxicity.toxicity(docs, labels))
     assert [out[1000 + i]["predicted"] for i in range(len(disguised))] == [1, 1, 1, 1, 0]
     assert len(toxicity.decode("a1" * 50_000, toxicity.CharacterModel.of({"^^a": 1.0}))) == 100_000
+
+
+def test_character_model_counts_every_trigram(spark):
+    # a script of many letters, words beside punctuation, and a word of more than 24 letters
+    signs = "".join(chr(0x4E00 + i) for i in range(20_000))
+    texts = [" ".join(signs[(i + j * k) % 20_000] + signs[i] + signs[(i * 7 + j) % 20_000] for i in range(20_000)) for j, k in ((1, 3), (2, 5))]
+    texts += ["word, word. (Word)", "a" * 30, None]
+    counts = collections.Counter()
+    for t in texts:
+        for w in re.findall(r"[^\W\d_]+", (t or "").lower()):
+            padded = f"^^{w}$"
+            counts.update(padded[i : i + 3] for i in range(len(padded) - 2))
+    assert len(counts) > 100_000
+    model = toxicity.character_model(table(spark, list(enumerate(texts))))
+    assert model.three == counts and model.total == sum(counts.values()) + 1
