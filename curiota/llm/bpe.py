@@ -158,6 +158,25 @@ class MergeList:
             yield ids[:kept]
             buffer = buffer[done:]
 
+    def spelled(self, piece: str, ends: bool = False) -> str:
+        """One character a byte; in vocabularies with word ends, the byte that ends a word is shifted by 256."""
+        raw = piece.encode("utf-8", "replace")
+        plain = raw.decode("latin-1")
+        return plain[:-1] + chr(256 + raw[-1]) if ends and self.last and raw else plain
+
+    def ids_of(self, spelled: str) -> list[int]:
+        """The tokens of a stretch on its own."""
+        return self.settle([self.first[ord(c)] if c < "Ā" else self.last[ord(c) - 256] for c in spelled])
+
+    def parts(self, text: str):
+        """(stretch of ordinary text, special id or None), in order."""
+        order = sorted(self.specials, key=len, reverse=True)
+        for i, part in enumerate(re.split("(" + "|".join(map(re.escape, order)) + ")", text) if order and "<|" in text else [text]):
+            if i % 2:
+                yield "", self.specials[part]
+            elif part:
+                yield part, None
+
 
 _LISTS: dict[str, MergeList] = {}
 

@@ -26,49 +26,163 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curiota.llm.arrow import map_columns
-from curiota.llm.bpe import Memo, merge_list
+from curiota.llm.bpe import merge_list
 
 #: Fixed value: the word pattern of the lower-casing vocabulary.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Longer words (in bytes) are merged on their own and not remembered.
+LONG_WORD = 64
+#: Ids of words that are merged together; bytes of remembered words in each of two generations, and of an entry besides its text.
+CELLS, MEMORY_BYTES, ENTRY_BYTES = 1 << 16, 32 << 20, 200
+NO_RANK = (1 << 31) - 1
 #: Python splits at these four separators, the vocabulary's pattern does not.
 _CONTROLS = re.compile("[\x1c-\x1f]")
 
 
+class PairTable:
+    """Ranks of pairs of ids as an open hash table, for many pairs at once."""
+
+    def __init__(self, ranks: dict[int, int]):
+        self.bits = max(4, (4 * len(ranks)).bit_length())
+        self.keys, self.ranks = np.full(1 << self.bits, -1, dtype=np.int64), np.full(1 << self.bits, NO_RANK, dtype=np.int32)
+        keys, values = np.array(list(ranks), dtype=np.int64), np.array(list(ranks.values()), dtype=np.int32)
+        at = self._place(keys)
+        while keys.size:
+            free = np.flatnonzero(self.keys[at] < 0)
+            # of several keys for one slot the last one is in, the others go on
+            self.keys[at[free]] = keys[free]
+            inside = self.keys[at] == keys
+            self.ranks[at[inside]] = values[inside]
+            keys, values, at = keys[~inside], values[~inside], at[~inside] + 1 & (1 << self.bits) - 1
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view(np.int64)
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of the pairs; ``NO_RANK`` for pairs that never merge, such as those with an id below zero."""
+        keys = left.astype(np.int64) << 24 | right.astype(np.int64)
+        at = self._place(keys)
+        there, out = self.keys[at], self.ranks[at]
+        other = np.flatnonzero(there != keys)
+        while other.size:
+            other = other[there[other] >= 0]
+            at[other] = at[other] + 1 & (1 << self.bits) - 1
+            there[other], out[other] = self.keys[at[other]], self.ranks[at[other]]
+            other = other[there[other] != keys[other]]
+        out[there != keys] = NO_RANK
+        return out
+
+
 class WordEncoder:
-    """Ids of the lower-casing word vocabulary, as little-endian unsigned 32-bit bytes."""
+    """Ids of the lower-casing word vocabulary, as little-endian unsigned 32-bit bytes.
+
+    Words that are not remembered are merged together, a merge of each word at a time.
+    """
 
     def __init__(self, path: str):
         self.merges = merge_list(path)
         self.find = regex.compile(WORD_PATTERN).findall
-        self.word = Memo(self._word)
-        self.chunk = Memo(self._chunk)
-        order = sorted(self.merges.specials, key=len, reverse=True)
-        self.special = re.compile("(" + "|".join(map(re.escape, order)) + ")")
-
-    def _word(self, word: str) -> bytes:
-        return np.fromiter(self.merges.tokens(word), dtype="<u4").tobytes()
-
-    def _chunk(self, chunk: str) -> bytes:
-        """Ids of a stretch without white space."""
-        return b"".join([self.word[w] if len(w) <= 64 else self._word(w) for w in self.find(chunk)])
-
-    def _plain(self, text: str) -> bytes:
+        self.pairs = PairTable(self.merges.ranks)
+        self.made = np.array(self.merges.made, dtype=np.int32)
+        self.plain, self.last = np.array(self.merges.first, dtype=np.int32), np.array(self.merges.last, dtype=np.int32)
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.weight = 0
+
+    def merged(self, words: list[str]) -> list[bytes]:
+        """The ids of every word, in order."""
+        raw = [w.encode("utf-8", "replace") for w in words]
+        out: list[bytes] = [b""] * len(raw)
+        order = sorted(range(len(raw)), key=lambda i: len(raw[i]))
+        lo = 0
+        while lo < len(order):
+            # words of like length together, within a bound of cells
+            hi, widest = lo, len(raw[order[lo]])
+            while hi < len(order) and (hi == lo or (len(raw[order[hi]]) <= widest + 2 and (hi - lo + 1) * len(raw[order[hi]]) <= CELLS)):
+                hi += 1
+            some = order[lo:hi]
+            if len(raw[some[0]]) > LONG_WORD:
+                for i in some:
+                    ids = self.merges.ids_of(self.merges.spelled(words[i], True))
+                    out[i] = np.array(ids, dtype="<u4").tobytes()
+            else:
+                for i, ids in zip(some, self._together([raw[i] for i in some]), strict=True):
+                    out[i] = ids
+            lo = hi
+        return out
+
+    def _together(self, raw: list[bytes]) -> list[bytes]:
+        sizes = np.array([len(r) for r in raw])
+        width = int(sizes.max())
+        ids = np.full((sizes.size, width), -1, dtype=np.int32)
+        inside = np.arange(width) < sizes[:, None]
+        ids[inside] = self.plain[np.frombuffer(b"".join(raw), dtype=np.uint8)]
+        rows = np.arange(sizes.size)
+        ids[rows, sizes - 1] = self.last[np.array([r[-1] for r in raw])]
+        left = sizes.copy()
+        if width > 1:
+            ranks = np.full((sizes.size, width), NO_RANK, dtype=np.int32)
+            both = inside[:, 1:]
+            ranks[:, :-1][both] = self.pairs.of(ids[:, :-1][both], ids[:, 1:][both])
+            columns, done = np.arange(width), np.empty_like(ids)
+            while True:
+                best = ranks.argmin(axis=1)
+                rank = ranks[np.arange(rows.size), best]
+                more = rank != NO_RANK
+                if not more.all():
+                    done[rows[~more]] = ids[~more]
+                    rows, ids, ranks, best, rank = rows[more], ids[more], ranks[more], best[more], rank[more]
+                if not rows.size:
+                    break
+                here = np.arange(rows.size)
+                ids[here, best] = self.made[rank]
+                # what lies behind the pair moves up by one
+                from_ = np.minimum(columns + (columns > best[:, None]), width - 1)
+                ids = np.take_along_axis(ids, from_, axis=1)
+                ids[:, -1] = -1
+                ranks = np.take_along_axis(ranks, np.minimum(columns + (columns >= best[:, None]), width - 1), axis=1)
+                ranks[:, -1] = NO_RANK
+                left[rows] -= 1
+                after, before = np.flatnonzero(best + 1 < left[rows]), np.flatnonzero(best > 0)
+                ranks[after, best[after]] = self.pairs.of(ids[after, best[after]], ids[after, best[after] + 1])
+                ranks[before, best[before] - 1] = self.pairs.of(ids[before, best[before] - 1], ids[before, best[before]])
+            ids = done
+        flat, ends = ids[np.arange(width) < left[:, None]].astype("<u4").tobytes(), (4 * np.cumsum(left)).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
+
+    def _learn(self, chunks: set[str]) -> None:
+        """Remember the ids of stretches without white space."""
+        parts = {c: self.find(c) for c in chunks}
+        words = list({w for found in parts.values() for w in found})
+        of = dict(zip(words, self.merged(words), strict=True))
+        for c, found in parts.items():
+            self.known[c] = ids = of[found[0]] if len(found) == 1 else b"".join([of[w] for w in found])
+            self.weight += len(c) + len(ids) + ENTRY_BYTES
+
+    def _words(self, text: str) -> list[str]:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
         # lower-casing goes by character: no final sigma
         text = text.lower() if "Σ" not in text else "".join([c.lower() for c in text])
-        if _CONTROLS.search(text):
-            return self._chunk(text)
-        return b"".join([self.chunk[c] if len(c) <= 64 else self._chunk(c) for c in text.split()])
-
-    def encode(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if "<|" not in text:
-            return self._plain(text)
-        parts = self.special.split(text)
-        one = lambda i, p: np.array([self.merges.specials[p]], dtype="<u4").tobytes() if i % 2 else self._plain(p)
-        return b"".join(one(i, p) for i, p in enumerate(parts))
+        return [text] if _CONTROLS.search(text) else text.split()
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of every text; a full memory becomes the older one, from which entries in use come back."""
+        cut = [[self._words(p) if s is None else s for p, s in self.merges.parts(t)] if t else [] for t in texts]
+        if self.weight > MEMORY_BYTES:
+            self.older, self.known, self.weight = self.known, {}, 0
+        wanted = {w for parts in cut for p in parts if isinstance(p, list) for w in p} - self.known.keys()
+        back = wanted & self.older.keys()
+        for w in back:
+            self.known[w] = ids = self.older[w]
+            self.weight += len(w) + len(ids) + ENTRY_BYTES
+        self._learn(wanted - back)
+        of = self.known.__getitem__
+        out = [b"".join([b"".join(map(of, p)) if isinstance(p, list) else np.array([p], dtype="<u4").tobytes() for p in parts]) for parts in cut]
+        for w in [w for w in wanted if len(w) > LONG_WORD]:
+            ids = self.known.pop(w)
+            self.weight -= len(w) + len(ids) + ENTRY_BYTES
+        return out
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -90,8 +204,8 @@ def pieces(
 
         def work(keys, texts):
             out = []
-            for key, text in zip(keys, texts, strict=True):
-                ids = encode(text) + end
+            for key, ids in zip(keys, encode(texts), strict=True):
+                ids += end
                 n = len(ids) // 4
                 for i, at in enumerate(range(0, n, capacity)):
                     out.append((key, i, at, min(capacity, n - at), zlib.crc32(ids[4 * at : 4 * (at + capacity)])))
