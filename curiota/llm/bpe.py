@@ -1,4 +1,4 @@
-"""Byte-pair encoding as a bounded-lookahead streaming transducer.
+"""Byte-pair encoding as a bounded-lookahead streaming transducer, compiled state by state.
 
 A merge list decides every token boundary from a bounded stretch of text to
 its right.  Write rule k as ``u_k + v_k``.  Let a text be cut in two at a gap.
@@ -11,9 +11,22 @@ be a suffix of ``v_k``.  Hence
 
     reach(k) = len(v_k) + max(reach(m) for m < k if u_m is a suffix of v_k)
 
-and ``lookahead = max reach`` bytes right of a gap settle it for good.  Tokens
-that end at a settled gap are emitted and their bytes forgotten, so the working
-buffer has a constant size.
+and ``lookahead = max reach`` bytes right of a gap settle it for good.
+
+The same argument makes the tokenizer finite.  A sequence of tokens is the
+encoding of its text exactly if every two neighbours are the encoding of
+theirs.  So each prefix of a text has one last token, the only one that fits
+the last token before it, and a later token can only start at a *live* place:
+one from which the text read so far begins a token.  What the encodings of all
+live places share at the front is settled.  The transducer emits it and
+forgets its bytes; the bytes that are left, at most ``lookahead`` of them, are
+its state.  The splitting of text into pre-tokens is part of the state too.
+
+States and transitions are made when a text first takes them; every transition
+carries the tokens it emits.  The tables are arrays, and texts are read in
+lockstep: a batch is cut into *lanes* at gaps between a visible character and
+white space, where a pre-token ends on either side's own account, so the map of
+a lane sends every state to the start state; all lanes take one step at a time.
 """
 
 from __future__ import annotations
@@ -21,16 +34,23 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import regex
 
-#: Fixed value: the pre-tokenizer pattern of the byte-level vocabulary family.
-BYTE_LEVEL_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Characters of a text that are segmented at a time.
-SEGMENT = 1 << 16
-#: Entries of a generation of a memo; bounds a worker's memory.
-MEMO_ENTRIES = 300_000
+#: The endings that the pre-tokenizers of both vocabulary families split off.
+ENDINGS = ("'s", "'t", "'re", "'ve", "'m", "'ll", "'d")
+#: Transitions that a compiled machine keeps between blocks; beyond it the machine is compiled anew.
+TRANSITIONS = 400_000
+#: Characters that are read in lockstep, and of a lane where it can be cut.
+BLOCK, LANE = 1 << 18, 256
+#: Fewer lanes than this are read one by one.
+FEW = 6
 _NONE = 1 << 60
+#: What follows the last character.
+_END = 0x110000
+_LETTER, _NUMBER, _WHITE = (regex.compile(p).match for p in (r"\p{L}", r"\p{N}", r"\s"))
 
 
 def byte_symbols() -> list[str]:
@@ -53,7 +73,11 @@ def sufficient_lookahead(merges: list[tuple[str, str]]) -> int:
 
 
 class MergeList:
-    """A merge list over token ids, with its vocabulary, special strings and lookahead."""
+    """A merge list over token ids, with its vocabulary, special strings and lookahead.
+
+    A token's ``spelling`` has one character a byte; in vocabularies with word
+    ends, the byte that ends a word is shifted by 256.
+    """
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -74,25 +98,37 @@ class MergeList:
             self.made.append(vocab[a + b])
         self.specials = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.lookahead = sufficient_lookahead(merges)
-        self.width = [0] * (max(vocab.values()) + 1)
-        self.token_bytes: dict[str, bytes] = {}
+        self.spelling: dict[int, str] = {}
+        self.bytes_of: dict[int, bytes] = {}
         for token, number in vocab.items():
-            plain = token[: -len(end)] if end and token.endswith(end) else token
-            if all(c in byte_of for c in plain):
-                self.width[number] = len(plain)
-                self.token_bytes[str(number)] = bytes(byte_of[c] for c in plain)
+            ends = bool(end) and token.endswith(end)
+            plain = token[: -len(end)] if ends else token
+            if plain and all(c in byte_of for c in plain):
+                raw = bytes(byte_of[c] for c in plain)
+                self.bytes_of[number] = raw
+                spelled = raw.decode("latin-1")
+                self.spelling[number] = spelled[:-1] + chr(256 + raw[-1]) if ends else spelled
         for token, number in self.specials.items():
-            self.token_bytes[str(number)] = token.encode("utf-8")
+            self.bytes_of[number] = token.encode("utf-8")
+            self.spelling.pop(number, None)
+        self.decimal = [str(n) for n in range(max(self.bytes_of) + 1)]
+        self.tokens = {s: n for n, s in self.spelling.items()}
+        #: every beginning of a token that is not the whole of it
+        self.begins = {s[:i] for s in self.tokens for i in range(1, len(s))}
+        order = sorted(self.specials, key=len, reverse=True)
+        self.special = re.compile("(" + "|".join(map(re.escape, order)) + ")") if order else None
 
-    def _symbols(self, raw: bytes, ends: bool) -> list[int]:
-        first = self.first
-        ids = [first[b] for b in raw]
-        if ends and self.last and ids:
-            ids[-1] = self.last[raw[-1]]
-        return ids
+    def spelled(self, piece: str, ends: bool = False) -> str:
+        raw = piece.encode("utf-8", "replace")
+        plain = raw.decode("latin-1")
+        return plain[:-1] + chr(256 + raw[-1]) if ends and self.last and raw else plain
+
+    def ids_of(self, spelled: str) -> list[int]:
+        """The tokens of a stretch on its own: the merge list, rule by rule."""
+        return self.settle([self.first[ord(c)] if c < "Ā" else self.last[ord(c) - 256] for c in spelled])
 
     def settle(self, ids: list[int]) -> list[int]:
-        """All merges over a short list of ids: lowest rank first, leftmost on ties."""
+        """All merges over a list of ids: lowest rank first, leftmost on ties."""
         if len(ids) > 48:
             return self._settle_long(ids)
         get = self.ranks.get
@@ -111,7 +147,7 @@ class MergeList:
         return ids
 
     def _settle_long(self, ids: list[int]) -> list[int]:
-        """The same with a heap over a linked list, for windows of a long run."""
+        """The same with a heap over a linked list."""
         n, get = len(ids), self.ranks.get
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = [(r, i) for i in range(n - 1) if (r := get(ids[i] << 24 | ids[i + 1])) is not None]
@@ -132,46 +168,12 @@ class MergeList:
                 heapq.heappush(heap, (r, k))
         return [x for x in ids if x >= 0]
 
-    def tokens(self, piece: str) -> list[int]:
-        """The token ids of one pre-token."""
-        raw = piece.encode("utf-8", "replace")
-        if len(raw) <= 2 * self.lookahead + 512:
-            return self.settle(self._symbols(raw, True))
-        return [i for ids in self.stream(raw) for i in ids]
-
-    def stream(self, raw: bytes):
-        """Emit lists of ids of a long pre-token as soon as they are settled, from a buffer of constant size."""
-        window, buffer, at, n = 2 * self.lookahead + 512, b"", 0, len(raw)
-        while at < n:
-            take = raw[at : at + window - len(buffer)]
-            at += len(take)
-            buffer += take
-            ids = self.settle(self._symbols(buffer, at >= n))
-            if at >= n:
-                yield ids
-                return
-            done, kept = 0, 0
-            for kept, number in enumerate(ids):  # noqa: B007
-                if done + self.width[number] + self.lookahead > len(buffer):
-                    break
-                done += self.width[number]
-            yield ids[:kept]
-            buffer = buffer[done:]
-
-    def spelled(self, piece: str, ends: bool = False) -> str:
-        """One character a byte; in vocabularies with word ends, the byte that ends a word is shifted by 256."""
-        raw = piece.encode("utf-8", "replace")
-        plain = raw.decode("latin-1")
-        return plain[:-1] + chr(256 + raw[-1]) if ends and self.last and raw else plain
-
-    def ids_of(self, spelled: str) -> list[int]:
-        """The tokens of a stretch on its own."""
-        return self.settle([self.first[ord(c)] if c < "Ā" else self.last[ord(c) - 256] for c in spelled])
-
     def parts(self, text: str):
         """(stretch of ordinary text, special id or None), in order."""
-        order = sorted(self.specials, key=len, reverse=True)
-        for i, part in enumerate(re.split("(" + "|".join(map(re.escape, order)) + ")", text) if order and "<|" in text else [text]):
+        if self.special is None or self.special.search(text) is None:
+            yield text, None
+            return
+        for i, part in enumerate(self.special.split(text)):
             if i % 2:
                 yield "", self.specials[part]
             elif part:
@@ -188,83 +190,350 @@ def merge_list(path: str) -> MergeList:
     return _LISTS[path]
 
 
-class Memo(dict):
-    """Paths of the transducer that were taken before, in two generations of bounded size.
-
-    A full generation becomes the old one; entries still in use come back from there.
-    """
-
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
-        self.old: dict = {}
-
-    def __missing__(self, key):
-        if len(self) >= MEMO_ENTRIES:
-            self.old = dict(self)
-            self.clear()
-        value = self.old.pop(key, None)
-        if value is None:
-            value = self.make(key)
-        self[key] = value
-        return value
+_EMPTY = ("", (None,), (-1,), (0,))
 
 
-#: A gap between a visible character and white space is a pre-token boundary on either side's own account.
-_SYNC = re.compile(r"(?<=\S)(?=\s)")
-#: White space that the split at single spaces and line ends below does not model.
-_ODD = re.compile(r"[^\S\n ]|[ \n](?:[ \n]|\Z)")
+class Transducer:
+    """The compiled tokenizer of a vocabulary.
 
-
-class ByteLevelSegmenter:
-    """Cuts text into units that pre-tokenize alone, and folds them into values.
-
-    ``value`` maps a list of token ids to what a caller wants (ids as text, a
-    count) and ``combine`` puts the values of neighbouring pre-tokens together.
+    A state is (mode, aux, core): where in a pre-token the text is, and what is
+    not settled of it as (bytes, last token at each place, where that token
+    starts, live places).  Transitions are found by state and character in an
+    open hash table, and have a next state and a stretch of ``emitted``.
     """
 
-    def __init__(self, merges: MergeList, value, combine):
+    def __init__(self, merges: MergeList):
         self.merges = merges
-        self.find = regex.compile(BYTE_LEVEL_PATTERN).findall
-        self.value = value
-        self.combine = combine
-        self.word = Memo(lambda piece: value(merges.tokens(piece)))
-        self.unit = Memo(self._unit)
-        self.after_space = Memo(lambda piece: self._unit(piece if piece[0] == "\n" else " " + piece))
-        order = sorted(merges.specials, key=len, reverse=True)
-        self.special = re.compile("(" + "|".join(map(re.escape, order)) + ")") if order else None
-
-    def _unit(self, unit: str):
-        pieces = self.find(unit)
-        if len(pieces) == 1 and len(unit) <= 64:
-            return self.value(self.merges.tokens(unit))
-        return self.combine([self.word[p] if len(p) <= 64 else self.value(self.merges.tokens(p)) for p in pieces])
-
-    def fold(self, part: str) -> list:
-        """Values of the units of a stretch that begins and ends at boundaries."""
-        if not part:
-            return []
-        if _ODD.search(part) or part[0] in " \n":
-            return [self.unit[part] if len(part) <= 64 else self._unit(part)]
-        pieces = part.replace("\n", " \n").split(" ")
-        return [self.unit[pieces[0]], *map(self.after_space.__getitem__, pieces[1:])]
-
-    def stretches(self, text: str):
-        """Cut a text at special strings and, when long, at synchronising gaps.
-
-        Yields (stretch, special id or None).
+        self.words = merges.last is not None
+        self.whole = {e: merges.ids_of(merges.spelled(e, True)) for e in ENDINGS}
+        self.second = {e[1]: e[2] for e in ENDINGS if len(e) == 3}
+        self.kinds: dict[str, str] = {}
+        #: all white space lies below this character
+        self.white = np.array([bool(_WHITE(chr(c))) for c in range(0x3002)])
+        self._forget()
+
+    def _forget(self) -> None:
+        """Drop what is compiled."""
+        self.states: list[tuple] = []
+        self.numbers: dict[tuple, int] = {}
+        self.fit: dict[int, bool] = {}
+        self.keys = np.full(1 << 18, -1, dtype=np.int64)
+        self.slots = np.zeros(1 << 18, dtype=np.int32)
+        self.made, self.kept, self._sized = 0, 0, self.keys.size
+        self.next = np.zeros(1 << 16, dtype=np.int32)
+        self.first, self.many = np.zeros(1 << 16, dtype=np.int32), np.zeros(1 << 16, dtype=np.int32)
+        self.emitted = np.zeros(1 << 16, dtype=np.uint32)
+        self._state("start", "", _EMPTY)
+
+    def _state(self, mode: str, aux: str, core: tuple) -> int:
+        number = self.numbers.setdefault((mode, aux, core[0]), len(self.states))
+        if number == len(self.states):
+            self.states.append((mode, aux, core))
+        return number
+
+    def _fits(self, a: int | None, b: int) -> bool:
+        """Whether two tokens beside each other, or one alone, are the encoding of their text."""
+        key = b if a is None else a + 1 << 24 | b
+        found = self.fit.get(key)
+        if found is None:
+            spelling = self.merges.spelling
+            text, ids = (spelling[b], [b]) if a is None else (spelling[a] + spelling[b], [a, b])
+            found = self.fit[key] = self.merges.ids_of(text) == ids
+        return found
+
+    def _push(self, core: tuple, symbol: str, out: list[int]) -> tuple:
+        rest, lasts, starts, live = core
+        rest += symbol
+        tokens, begins = self.merges.tokens, self.merges.begins
+        for at in live:
+            token = tokens.get(rest[at:])
+            if token is not None and self._fits(None, token) and (at == 0 or self._fits(lasts[at], token)):
+                break
+        lasts, starts = (*lasts, token), (*starts, at)
+        live = [j for j in live if rest[j:] in begins]
+        live.append(len(rest))
+        settled = self._common(live, starts) if live[0] else 0
+        if settled:
+            out += self._chain(lasts, starts, settled)
+            rest, lasts = rest[settled:], (None, *lasts[settled + 1 :])
+            starts, live = (-1, *[s - settled for s in starts[settled + 1 :]]), [j - settled for j in live]
+        return rest, lasts, starts, tuple(live)
+
+    @staticmethod
+    def _common(live: list[int], starts: tuple[int, ...]) -> int:
+        """The last place through which the encodings of all live places go."""
+        places = set(live)
+        while len(places) > 1:
+            top = max(places)
+            places.remove(top)
+            places.add(starts[top])
+        return places.pop()
+
+    @staticmethod
+    def _chain(lasts: tuple, starts: tuple, place: int) -> list[int]:
+        out = []
+        while place:
+            out.append(lasts[place])
+            place = starts[place]
+        return out[::-1]
+
+    def _feed(self, aux: str, core: tuple, c: str, out: list[int]) -> tuple[str, tuple]:
+        """(symbol that waits for its successor, core): only vocabularies with word ends need to wait."""
+        symbols = aux + self.merges.spelled(c)
+        if self.words:
+            symbols, aux = symbols[:-1], symbols[-1]
+        for s in symbols:
+            core = self._push(core, s, out)
+        return aux, core
+
+    def _finish(self, aux: str, core: tuple, out: list[int]) -> None:
+        if self.words and aux:
+            core = self._push(core, chr(256 + ord(aux)), out)
+        rest, lasts, starts, _ = core
+        out += self._chain(lasts, starts, len(rest))
+
+    def _alone(self, piece: str, out: list[int]) -> None:
+        out += self.merges.ids_of(self.merges.spelled(piece, True))
+
+    def _next(self, mode: str, aux: str, core: tuple, c: str, out: list[int]) -> tuple[str, str, tuple]:
+        kind = self.kinds.get(c)
+        if kind is None:
+            kind = self.kinds[c] = "L" if _LETTER(c) else "N" if _NUMBER(c) else "S" if _WHITE(c) else "O"
+        if mode == "S":
+            if kind == "S":
+                return "S", c, self._feed("", core, aux, out)[1]
+            self._finish("", core, out)
+            if aux == " ":  # the last space goes with the word that follows
+                return kind, "", self._feed("", self._feed("", _EMPTY, " ", out)[1], c, out)[1]
+            self._alone(aux, out)
+        elif mode in ("L", "N", "O"):
+            if kind == mode:
+                return mode, *self._feed(aux, core, c, out)
+            self._finish(aux, core, out)
+        elif mode == "quote":
+            if "'" + c in self.whole:
+                out += self.whole["'" + c]
+                return "start", "", _EMPTY
+            if c in self.second:
+                return "ending", c, _EMPTY
+            if kind == "O":
+                return "O", *self._feed(*self._feed("", _EMPTY, "'", out), c, out)
+            self._alone("'", out)
+        elif mode == "ending":
+            if c == self.second[aux]:
+                out += self.whole["'" + aux + c]
+                return "start", "", _EMPTY
+            self._alone("'", out)
+            if kind == "L":
+                return "L", *self._feed(*self._feed("", _EMPTY, aux, out), c, out)
+            self._alone(aux, out)
+        if kind == "S":
+            return ("start", "", _EMPTY) if self.words else ("S", c, _EMPTY)
+        if c == "'":
+            return "quote", "", _EMPTY
+        if kind == "N" and self.words:
+            self._alone(c, out)
+            return "start", "", _EMPTY
+        return kind, *self._feed("", _EMPTY, c, out)
+
+    def _ending(self, mode: str, aux: str, core: tuple) -> list[int]:
+        out: list[int] = []
+        if mode == "S":
+            self._finish("", self._feed("", core, aux, out)[1], out)
+        elif mode in ("L", "N", "O"):
+            self._finish(aux, core, out)
+        elif mode != "start":
+            self._alone("'", out)
+            if aux:
+                self._alone(aux, out)
+        return out
+
+    def _compile(self, key: int) -> int:
+        """Make the transition of a state and a character; its number."""
+        state, code = self.states[key >> 21], key & 0x1FFFFF
+        out: list[int] = []
+        if code == _END:
+            out, then = self._ending(*state), 0
+        else:
+            then = self._state(*self._next(*state, chr(code), out))
+        number, self.made = self.made, self.made + 1
+        if self.made > self.next.size:
+            self.next, self.first, self.many = (np.concatenate((x, np.zeros_like(x))) for x in (self.next, self.first, self.many))
+        while self.kept + len(out) > self.emitted.size:
+            self.emitted = np.concatenate((self.emitted, np.zeros_like(self.emitted)))
+        self.next[number], self.first[number], self.many[number] = then, self.kept, len(out)
+        self.emitted[self.kept : self.kept + len(out)] = out
+        self.kept += len(out)
+        if 4 * self.made > self.keys.size:
+            known = np.flatnonzero(self.keys >= 0)
+            keys, slots = self.keys[known], self.slots[known]
+            self.keys, self.slots = np.full(4 * self.keys.size, -1, dtype=np.int64), np.zeros(4 * self.slots.size, dtype=np.int32)
+            for k, v in zip(keys.tolist(), slots.tolist(), strict=True):
+                self._put(k, v)
+        self._put(key, number)
+        return number
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        h = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (h >> np.uint64(65 - self.keys.size.bit_length())).view(np.int64)
+
+    def _put(self, key: int, number: int) -> None:
+        at = (key * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 65 - self.keys.size.bit_length()
+        while self.keys[at] >= 0:
+            at = at + 1 & self.keys.size - 1
+        self.keys[at], self.slots[at] = key, number
+
+    def _one(self, key: int) -> int:
+        at = (key * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> 65 - self.keys.size.bit_length()
+        while (there := int(self.keys[at])) != key:
+            if there < 0:
+                return self._compile(key)
+            at = at + 1 & self.keys.size - 1
+        return int(self.slots[at])
+
+    def _taken(self, keys: np.ndarray) -> np.ndarray:
+        """Transition numbers of all keys."""
+        at = self._place(keys)
+        there = self.keys[at]
+        out = self.slots[at]
+        left = np.flatnonzero(there != keys)
+        while left.size:
+            absent = there[left] < 0
+            if absent.any():
+                lost = left[absent]
+                out[lost] = [self._one(k) for k in keys[lost].tolist()]
+                left = left[~absent]
+                if at.size and self.keys.size != self._sized:  # grown meanwhile
+                    self._sized = self.keys.size
+                    at = self._place(keys)
+                    there = self.keys[at]
+                    out[left] = self.slots[at[left]]
+                    left = left[there[left] != keys[left]]
+                    continue
+            at[left] = at[left] + 1 & self.keys.size - 1
+            there[left], out[left] = self.keys[at[left]], self.slots[at[left]]
+            left = left[there[left] != keys[left]]
+        return out
+
+    def _lanes(self, codes: np.ndarray, edges: list[int]) -> np.ndarray:
+        """Where lanes begin: at ``edges`` and, every ``LANE`` characters or later, at synchronising gaps."""
+        white = self.white[np.minimum(codes, self.white.size - 1)]
+        gaps = np.flatnonzero(white[1:] & ~white[:-1]) + 1
+        if gaps.size:
+            found = np.searchsorted(gaps, np.arange(LANE, codes.size, LANE))
+            gaps = gaps[found[found < gaps.size]]
+        return np.unique(np.concatenate((np.array(edges, dtype=np.int64), gaps)))
+
+    def _read(self, codes: np.ndarray, edges: list[int], state: int, more: bool) -> tuple[np.ndarray, np.ndarray, int]:
+        """(transition of every character and lane end, where each edge's are, state after the last lane).
+
+        The first lane begins in ``state``, others at the start; with ``more``,
+        the text of the last lane goes on in another block.
         """
-        parts = self.special.split(text) if self.special and "<|" in text else [text]
-        for i, part in enumerate(parts):
-            if i % 2:
-                yield "", self.merges.specials[part]
-                continue
-            at = 0
-            while at < len(part):
-                if len(part) - at <= 2 * SEGMENT:
-                    yield part[at:], None
-                    break
-                cut = _SYNC.search(part, at + SEGMENT)
-                stop = cut.start() if cut else len(part)
-                yield part[at:stop], None
-                at = stop
+        begins = self._lanes(codes, edges)
+        sizes = np.diff(np.append(begins, codes.size))
+        # every lane is followed by its end
+        put = np.arange(codes.size) + np.repeat(np.arange(begins.size), sizes)
+        tape = np.full(codes.size + begins.size, _END, dtype=np.int64)
+        tape[put] = codes
+        starts = begins + np.arange(begins.size)
+        lengths = sizes + 1
+        if more:
+            lengths[-1] -= 1
+        taken = np.zeros(tape.size, dtype=np.int32)
+        order = np.argsort(-lengths, kind="stable")
+        at, left = starts[order], lengths[order]
+        states = np.zeros(at.size, dtype=np.int64)
+        states[order == 0] = state
+        n, step, last = at.size, 0, int(np.flatnonzero(order == begins.size - 1)[0])
+        while True:
+            n = int(np.searchsorted(-left[:n], -step, side="left"))  # lanes with more than ``step`` characters
+            if n <= FEW:
+                break
+            here = at[:n] + step
+            now = self._taken(states[:n] << 21 | tape[here])
+            taken[here] = now
+            states[:n] = self.next[now]
+            step += 1
+        for i in range(n):
+            s = int(states[i])
+            for k in range(int(at[i]) + step, int(at[i] + left[i])):
+                t = taken[k] = self._one(s << 21 | int(tape[k]))
+                s = int(self.next[t])
+            states[i] = s
+        where = np.searchsorted(begins, np.array(edges, dtype=np.int64))
+        end = int(states[last]) if more else 0
+        return (taken[:-1] if more else taken), starts[where], end
+
+    def ids(self, taken: np.ndarray) -> np.ndarray:
+        """What the transitions emit, in order."""
+        many = self.many[taken]
+        some = np.flatnonzero(many)
+        many, first = many[some].astype(np.int64), self.first[taken[some]].astype(np.int64)
+        ends = np.cumsum(many)
+        return self.emitted[np.repeat(first - (ends - many), many) + np.arange(int(ends[-1]) if ends.size else 0)]
+
+    def read(self, texts: Iterable[str]) -> Iterator[tuple[int, np.ndarray, int | None]]:
+        """(number of the text, transitions, special id) for stretches of all texts, in order; empty texts give none."""
+        held: list[tuple[int, str]] = []
+        size = 0
+        for number, text in enumerate(texts):
+            for part, special in self.merges.parts(text):
+                if special is not None or size + len(part) > BLOCK:
+                    yield from self._together(held)
+                    held, size = [], 0
+                if special is not None:
+                    yield number, np.empty(0, dtype=np.int32), special
+                elif len(part) > BLOCK:
+                    state = 0
+                    for lo in range(0, len(part), BLOCK):
+                        self._bound(keep := self.states[state])
+                        codes, more = _codes(part[lo : lo + BLOCK]), lo + BLOCK < len(part)
+                        taken, _, state = self._read(codes, [0], self._state(*keep), more)
+                        yield number, taken, None
+                elif part:
+                    held.append((number, part))
+                    size += len(part)
+        yield from self._together(held)
+
+    def _bound(self, keep: tuple | None = None) -> None:
+        if self.made > TRANSITIONS:
+            self._forget()
+            if keep:
+                self._state(*keep)
+
+    def _together(self, held: list[tuple[int, str]]) -> Iterator[tuple[int, np.ndarray, None]]:
+        if held:
+            self._bound()
+            edges = np.cumsum([0, *(len(p) for _, p in held)]).tolist()
+            taken, starts, _ = self._read(_codes("".join([p for _, p in held])), edges[:-1], 0, False)
+            stops = np.append(starts[1:], taken.size)
+            for (number, _), lo, hi in zip(held, starts.tolist(), stops.tolist(), strict=True):
+                yield number, taken[lo:hi], None
+
+    def encode(self, texts: Iterable[str]) -> Iterator[tuple[int, np.ndarray]]:
+        """(number of the text, ids) for stretches of all texts, in order."""
+        for number, taken, special in self.read(texts):
+            yield number, self.ids(taken) if special is None else np.array([special], dtype=np.uint32)
+
+    def counts(self, texts: list[str]) -> list[int]:
+        """Emitted tokens of every text: the counts on its transitions, added up."""
+        out = [0] * len(texts)
+        for number, taken, special in self.read(texts):
+            out[number] += 1 if special is not None else int(self.many[taken].sum())
+        return out
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "replace"), dtype="<u4").astype(np.int64)
+
+
+_TRANSDUCERS: dict[str, Transducer] = {}
+
+
+def transducer(path: str) -> Transducer:
+    """The compiled tokenizer of a file, one per Python worker: what is compiled lives across tasks."""
+    if path not in _TRANSDUCERS:
+        _TRANSDUCERS.clear()
+        _TRANSDUCERS[path] = Transducer(merge_list(path))
+    return _TRANSDUCERS[path]

@@ -1,8 +1,15 @@
 """Operator 2: BPE encoding and decoding with bounded lookahead.
 
+Every text runs through the streaming transducer of :mod:`curiota.llm.bpe`: a
+token is emitted as soon as no continuation can change it, which the merge
+list's sufficient lookahead bounds, and only bytes that are not settled are
+kept.  Texts go in blocks of constant size, and a decoder state takes the ids
+of a block at a time, so neither ids nor text of a long document are held whole.
+
 A null text counts as empty and gives no ids; an empty text likewise.  Rows are
-independent: repeated rows give repeated results, an empty table gives an empty
-one, and very long texts run through a window of constant size.
+independent: rows that repeat or have no id give their own results, and ties
+cannot arise.  An empty table gives an empty one.  Columns other than the two
+named are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -13,37 +20,19 @@ import hashlib
 from pyspark.sql import DataFrame
 
 from curiota.llm.arrow import map_columns
-from curiota.llm.bpe import ByteLevelSegmenter, merge_list
-
-
-class StreamEncoder:
-    """Text to ids, stretch by stretch; each stretch's ids as decimal text."""
-
-    def __init__(self, path: str):
-        self.merges = merge_list(path)
-        self.segmenter = ByteLevelSegmenter(self.merges, lambda ids: ",".join(map(str, ids)), ",".join)
-
-    def feed(self, text: str):
-        """Yield comma-joined ids of settled stretches, in order; never an empty string."""
-        for stretch, special in self.segmenter.stretches(text):
-            ids = str(special) if special is not None else ",".join(filter(None, self.segmenter.fold(stretch)))
-            if ids:
-                yield ids
-
-    def encode(self, text: str | None) -> list[int]:
-        return [int(i) for ids in self.feed(text or "") for i in ids.split(",")]
+from curiota.llm.bpe import merge_list, transducer
 
 
 class StreamDecoder:
     """Ids to text: bytes of an unfinished character wait in the state machine."""
 
     def __init__(self, path: str):
-        self.bytes_of = merge_list(path).token_bytes
+        self.bytes_of = merge_list(path).bytes_of
         self.state = codecs.getincrementaldecoder("utf-8")("replace")
 
-    def feed(self, ids: str) -> str:
-        """Text that the comma-joined ids complete."""
-        return self.state.decode(b"".join(map(self.bytes_of.__getitem__, ids.split(",")))) if ids else ""
+    def feed(self, ids: list[int]) -> str:
+        """Text that the ids complete."""
+        return self.state.decode(b"".join(map(self.bytes_of.__getitem__, ids)))
 
     def finish(self) -> str:
         text = self.state.decode(b"", True)
@@ -51,22 +40,19 @@ class StreamDecoder:
         return text
 
 
-_ENCODERS: dict[str, StreamEncoder] = {}
-
-
-def encoder(path: str) -> StreamEncoder:
-    """One encoder per Python worker and vocabulary: its memo lives across tasks."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = StreamEncoder(path)
-    return _ENCODERS[path]
-
-
 def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, ids array<int>``: the token ids of every text."""
 
     def make():
-        enc = encoder(path)
-        return lambda keys, texts: [keys, [enc.encode(t) for t in texts]]
+        machine = transducer(path)
+
+        def work(keys, texts):
+            out: list[list[int]] = [[] for _ in keys]
+            for i, ids in machine.encode([t or "" for t in texts]):
+                out[i] += ids.tolist()
+            return [keys, out]
+
+        return work
 
     kind = df.schema[id_col].dataType.simpleString()
     return map_columns(df, [id_col, text_col], make, f"`{id_col}` {kind}, ids array<int>")
@@ -77,7 +63,7 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
 
     def make():
         dec = StreamDecoder(path)
-        return lambda keys, lists: [keys, [dec.feed(",".join(map(str, x or []))) + dec.finish() for x in lists]]
+        return lambda keys, lists: [keys, [dec.feed(x or []) + dec.finish() for x in lists]]
 
     kind = df.schema[id_col].dataType.simpleString()
     return map_columns(df, [id_col, ids_col], make, f"`{id_col}` {kind}, text string")
@@ -90,20 +76,32 @@ def round_trip_digest(df: DataFrame, path: str, id_col: str = "doc_id", text_col
     """
 
     def make():
-        enc, dec = encoder(path), StreamDecoder(path)
-
-        def one(text: str | None) -> tuple[int, str, str]:
-            n, ids_sha, text_sha = 0, hashlib.sha256(), hashlib.sha256()
-            for ids in enc.feed(text or ""):
-                ids_sha.update(("," + ids if n else ids).encode())
-                n += ids.count(",") + 1
-                text_sha.update(dec.feed(ids).encode("utf-8"))
-            text_sha.update(dec.finish().encode("utf-8"))
-            return n, ids_sha.hexdigest(), text_sha.hexdigest()
+        machine, dec = transducer(path), StreamDecoder(path)
+        spelled = machine.merges.decimal
 
         def work(keys, texts):
-            out = [one(t) for t in texts]
-            return [keys, *(list(c) for c in zip(*out, strict=True))] if out else [keys, [], [], []]
+            counts, ids_sha, text_sha = [0] * len(keys), [], []
+            at = -1
+
+            def up_to(number):
+                nonlocal at
+                while at < number:  # the text before is over: its last bytes leave the decoder
+                    if at >= 0:
+                        text_sha[at].update(dec.finish().encode("utf-8"))
+                    ids_sha.append(hashlib.sha256())
+                    text_sha.append(hashlib.sha256())
+                    at += 1
+
+            for number, found in machine.encode([t or "" for t in texts]):
+                up_to(number)
+                ids = found.tolist()
+                if ids:
+                    joined = ",".join(map(spelled.__getitem__, ids))
+                    ids_sha[at].update(("," + joined if counts[at] else joined).encode())
+                    counts[at] += len(ids)
+                    text_sha[at].update(dec.feed(ids).encode("utf-8"))
+            up_to(len(keys))
+            return [keys, counts, [h.hexdigest() for h in ids_sha[: len(keys)]], [h.hexdigest() for h in text_sha[: len(keys)]]]
 
         return work
 

@@ -1,100 +1,25 @@
-"""Operator 9: token counts by a compiled count transducer.
-
-The tokenizer is compiled, on demand, into a deterministic transducer whose
-paths carry the number of tokens they emit; paths between synchronising gaps
-are memoised.  A chunk of text acts on the transducer's state as a map with a
-finite description: the text before its first synchronising gap, the tokens
-emitted between its first and last gap, and the text after the last one.
-These maps compose associatively, and a long text's chunk maps are combined
-pairwise, level by level, as a prefix scan does.
-
-A null or empty text has no tokens.  Rows are independent.
+"""Operator 9: token counts by a compiled finite-state tokenizer.
+
+The tokenizer is compiled, state by state, into a deterministic transducer over
+characters (:mod:`curiota.llm.bpe`) whose transitions carry the number of
+tokens they emit; no text is merged.  Texts are cut into chunks at
+synchronising gaps, where every state goes to the start state: a chunk's state
+map is one number, and maps compose by adding up.  Chunks are read in lockstep
+and their maps composed by a prefix scan (a cumulative sum).  A chunk without
+such a gap keeps its state from block to block.
+
+A null or empty text has no tokens; rows are independent, so rows that repeat or
+have no id each get their own count, and ties cannot arise.  An empty table
+gives an empty one.  Very long texts are read in blocks of constant size.
+Columns other than the two named are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
 
-import re
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 
 from curiota.llm.arrow import map_columns
-from curiota.llm.bpe import ByteLevelSegmenter, merge_list
-
-#: Characters of a chunk; texts up to this length are one chunk.
-CHUNK = 1 << 16
-_SYNC = re.compile(r"(?<=\S)(?=\s)")
-
-
-@dataclass(frozen=True)
-class StateMap:
-    """What a chunk does: ``head`` meets the state before it, ``tail`` is the state after it.
-
-    ``closed`` is false for a chunk without a synchronising gap; its whole text is in ``head``.
-    """
-
-    head: str
-    count: int
-    tail: str
-    closed: bool
-
-
-class CountTransducer:
-    def __init__(self, path: str):
-        self.segmenter = ByteLevelSegmenter(merge_list(path), len, sum)
-
-    def emitted(self, stretch: str) -> int:
-        return sum(self.segmenter.fold(stretch))
-
-    def chunk_map(self, chunk: str) -> StateMap:
-        first = _SYNC.search(chunk, 1)
-        if first is None or first.start() >= len(chunk):
-            return StateMap(chunk, 0, "", False)
-        start, stop = first.start(), first.start()
-        back = 256
-        while back < 2 * len(chunk):
-            gaps = [m.start() for m in _SYNC.finditer(chunk, max(start, len(chunk) - back))]
-            if gaps:
-                stop = gaps[-1]
-                break
-            back *= 4
-        return StateMap(chunk[:start], self.emitted(chunk[start:stop]), chunk[stop:], True)
-
-    def compose(self, a: StateMap, b: StateMap) -> StateMap:
-        if a.closed and b.closed:
-            return StateMap(a.head, a.count + self.emitted(a.tail + b.head) + b.count, b.tail, True)
-        if a.closed:
-            return StateMap(a.head, a.count, a.tail + b.head, True)
-        if b.closed:
-            return StateMap(a.head + b.head, b.count, b.tail, True)
-        return StateMap(a.head + b.head, 0, "", False)
-
-    def scan(self, text: str) -> int:
-        """Tokens of a text without special strings."""
-        if len(text) <= CHUNK:
-            return self.emitted(text)
-        maps = [self.chunk_map(text[i : i + CHUNK]) for i in range(0, len(text), CHUNK)]
-        while len(maps) > 1:
-            maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
-        return self.emitted(maps[0].head) + maps[0].count + self.emitted(maps[0].tail)
-
-    def count(self, text: str | None) -> int:
-        if not text:
-            return 0
-        special = self.segmenter.special
-        if special is None or "<|" not in text:
-            return self.scan(text)
-        parts = special.split(text)
-        return len(parts) // 2 + sum(self.scan(p) for p in parts[::2])
-
-
-_TRANSDUCERS: dict[str, CountTransducer] = {}
-
-
-def transducer(path: str) -> CountTransducer:
-    if path not in _TRANSDUCERS:
-        _TRANSDUCERS[path] = CountTransducer(path)
-    return _TRANSDUCERS[path]
+from curiota.llm.bpe import transducer
 
 
 def count_tokens(
@@ -103,12 +28,12 @@ def count_tokens(
     """``id, n_bytes, n_tokens, over_limit`` for every text."""
 
     def make():
-        counter = transducer(path)
+        machine = transducer(path)
 
         def work(keys, texts):
-            tokens = [counter.count(t) for t in texts]
-            sizes = [len((t or "").encode("utf-8")) for t in texts]
-            return [keys, sizes, tokens, [n > limit for n in tokens]]
+            texts = [t or "" for t in texts]
+            tokens = machine.counts(texts)
+            return [keys, [len(t.encode("utf-8")) for t in texts], tokens, [n > limit for n in tokens]]
 
         return work
 

@@ -72,8 +72,50 @@ def test_lookahead_is_sufficient():
     rng = random.Random(3)
     for _ in range(3):
         text = "".join(rng.choice("abcdethe ing".replace(" ", "")) for _ in range(9000))
-        whole = merges.settle(merges._symbols(text.encode(), True))
-        assert [i for ids in merges.stream(text.encode()) for i in ids] == whole
+        machine = bpe.Transducer(merges)
+        found = [i for _, ids in machine.encode([text]) for i in ids.tolist()]
+        assert found == merges.ids_of(text)
+        # what is not settled is the state, and its size is bounded whatever the length of the text
+        assert max(len(core[0]) for _, _, core in machine.states) <= merges.lookahead
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_transducer_agrees_with_the_library(path, monkeypatch):
+    reference, rng = Tokenizer.from_file(path), random.Random(8)
+    signs = [" ", "\n", "\t", "  ", "a", "b", "the", "'s", "'", "'re", "'r", "é", "1", "23", "!", "--", "日本", "😀", "\xa0", "x", "ing", "</w>", "\x1c", "\x85", "ß", "'ll", "'l", "<|endoftext|>"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 30))) for _ in range(1500)] + ["xab" * 3000, "a" * 2000 + " " * 900, ""]
+    expected = [reference.encode(t, add_special_tokens=False).ids for t in texts]
+    for block, lane, transitions in ((1 << 18, 256, 400_000), (50, 3, 400_000), (1000, 16, 200)):
+        monkeypatch.setattr(bpe, "BLOCK", block)
+        monkeypatch.setattr(bpe, "LANE", lane)
+        monkeypatch.setattr(bpe, "TRANSITIONS", transitions)
+        machine = bpe.Transducer(bpe.merge_list(path))
+        out = [[] for _ in texts]
+        for i, ids in machine.encode(texts):
+            out[i] += ids.tolist()
+        assert out == expected and machine.counts(texts) == [len(x) for x in expected]
+
+
+def test_words_merged_together():
+    merges, rng = bpe.merge_list(WORD), random.Random(2)
+    encoder = packing.WordEncoder(WORD)
+    words = ["".join(rng.choice("abcdethingé") for _ in range(rng.randint(1, 90))) for _ in range(3000)]
+    assert encoder.merged(words) == [np.array(merges.ids_of(merges.spelled(w, True)), dtype="<u4").tobytes() for w in words]
+    encoder.encode(["some words " * 10])
+    kept = dict(encoder.known)
+    encoder.weight = packing.MEMORY_BYTES + 1
+    assert encoder.encode(["some other words"]) == encoder.encode(["some other words"]) and encoder.older == kept
+
+
+def test_counts_come_from_transitions(monkeypatch):
+    machine = bpe.Transducer(bpe.merge_list(BYTE))
+    text = "the counting of these tokens"
+    assert machine.counts([text]) == [len(Tokenizer.from_file(BYTE).encode(text).ids)]
+    # a text that was read takes compiled transitions only, and its count is theirs
+    monkeypatch.setattr(machine, "_compile", None)
+    assert machine.counts([text]) == [len(Tokenizer.from_file(BYTE).encode(text).ids)]
+    machine.many[:] = 0
+    assert machine.counts([text]) == [0]
 
 
 def test_codec_and_counts(docs, rows, empty):
@@ -90,18 +132,6 @@ def test_codec_and_counts(docs, rows, empty):
     assert {r.doc_id: r.text for r in back.collect()} == {i: t or "" for i, t in rows}
 
 
-def test_chunk_maps_compose():
-    reference, rng = Tokenizer.from_file(BYTE), random.Random(5)
-    counter = token_count.CountTransducer(BYTE)
-    for _ in range(300):
-        text = "".join(rng.choice(" \n\tab'sé1!") for _ in range(rng.randint(0, 40)))
-        maps = [counter.chunk_map(text[i : i + 5]) for i in range(0, len(text), 5)]
-        while len(maps) > 1:
-            maps = [counter.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
-        total = counter.emitted(maps[0].head) + maps[0].count + counter.emitted(maps[0].tail) if maps else 0
-        assert total == len(reference.encode(text, add_special_tokens=False).ids), repr(text)
-
-
 def base_spans(text):
     assign = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
     found = [(m.start(), 0, m.end()) for m in re.finditer(assign, text) if len(m[1]) >= 12]
