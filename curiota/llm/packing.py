@@ -34,6 +34,10 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 LONG_WORD = 64
 #: Ids of words that are merged together; bytes of remembered words in each of two generations, and of an entry besides its text.
 CELLS, MEMORY_BYTES, ENTRY_BYTES = 1 << 16, 32 << 20, 200
+#: Widths to which words are filled up.
+WIDTHS = (1, 3, 5, 7, 9, 11, 13, 16, 20, 28, 40, LONG_WORD)
+#: Characters of texts that are encoded together.
+GROUP = 1 << 21
 NO_RANK = (1 << 31) - 1
 #: Python splits at these four separators, the vocabulary's pattern does not.
 _CONTROLS = re.compile("[\x1c-\x1f]")
@@ -93,22 +97,24 @@ class WordEncoder:
         """The ids of every word, in order."""
         raw = [w.encode("utf-8", "replace") for w in words]
         out: list[bytes] = [b""] * len(raw)
-        order = sorted(range(len(raw)), key=lambda i: len(raw[i]))
-        lo = 0
-        while lo < len(order):
-            # words of like length together, within a bound of cells
-            hi, widest = lo, len(raw[order[lo]])
-            while hi < len(order) and (hi == lo or (len(raw[order[hi]]) <= widest + 2 and (hi - lo + 1) * len(raw[order[hi]]) <= CELLS)):
-                hi += 1
-            some = order[lo:hi]
-            if len(raw[some[0]]) > LONG_WORD:
-                for i in some:
+        sizes = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
+        order = np.argsort(sizes, kind="stable")
+        # words of like length together, within a bound of cells
+        classes = np.searchsorted(WIDTHS, sizes[order], side="left")
+        cuts = [0, *(np.flatnonzero(np.diff(classes)) + 1).tolist(), len(raw)]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            if lo == hi:
+                continue
+            if (kind := int(classes[lo])) == len(WIDTHS):
+                for i in order[lo:hi].tolist():
                     ids = self.merges.ids_of(self.merges.spelled(words[i], True))
                     out[i] = np.array(ids, dtype="<u4").tobytes()
-            else:
+                continue
+            step = CELLS // WIDTHS[kind]
+            for at in range(lo, hi, step):
+                some = order[at : min(hi, at + step)].tolist()
                 for i, ids in zip(some, self._together([raw[i] for i in some]), strict=True):
                     out[i] = ids
-            lo = hi
         return out
 
     def _together(self, raw: list[bytes]) -> list[bytes]:
@@ -152,12 +158,18 @@ class WordEncoder:
 
     def _learn(self, chunks: set[str]) -> None:
         """Remember the ids of stretches without white space."""
-        parts = {c: self.find(c) for c in chunks}
-        words = list({w for found in parts.values() for w in found})
+        known, find = self.known, self.find
+        words = [c for c in chunks if c.isalpha()]
+        parts = {c: find(c) for c in chunks.difference(words)}
+        inner = set().union(*parts.values()).difference(words)
+        words += inner
         of = dict(zip(words, self.merged(words), strict=True))
         for c, found in parts.items():
-            self.known[c] = ids = of[found[0]] if len(found) == 1 else b"".join([of[w] for w in found])
-            self.weight += len(c) + len(ids) + ENTRY_BYTES
+            of[c] = of[found[0]] if len(found) == 1 else b"".join([of[w] for w in found])
+        for w in inner.difference(parts):
+            del of[w]
+        known.update(of)
+        self.weight += sum(map(len, of)) + sum(map(len, of.values())) + ENTRY_BYTES * len(of)
 
     def _words(self, text: str) -> list[str]:
         if not text.isascii():
@@ -166,22 +178,38 @@ class WordEncoder:
         text = text.lower() if "Σ" not in text else "".join([c.lower() for c in text])
         return [text] if _CONTROLS.search(text) else text.split()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of every text; a full memory becomes the older one, from which entries in use come back."""
+    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
+        """The ids of every text, in groups that hold a bounded number of characters or one text."""
+        group, size = [], 0
+        for t in texts:
+            if group and size + len(t or "") > GROUP:
+                yield from self._encode(group)
+                group, size = [], 0
+            group.append(t)
+            size += len(t or "")
+        yield from self._encode(group)
+
+    def _encode(self, texts: list[str | None]) -> list[bytes]:
+        """A full memory becomes the older one, from which entries in use come back."""
         cut = [[self._words(p) if s is None else s for p, s in self.merges.parts(t)] if t else [] for t in texts]
         if self.weight > MEMORY_BYTES:
             self.older, self.known, self.weight = self.known, {}, 0
-        wanted = {w for parts in cut for p in parts if isinstance(p, list) for w in p} - self.known.keys()
-        back = wanted & self.older.keys()
-        for w in back:
-            self.known[w] = ids = self.older[w]
-            self.weight += len(w) + len(ids) + ENTRY_BYTES
+        wanted: set[str] = set()
+        for parts in cut:
+            for p in parts:
+                if isinstance(p, list):
+                    wanted.update(p)
+        wanted.difference_update(self.known)
+        back = wanted.intersection(self.older)
+        if back:
+            again = {w: self.older[w] for w in back}
+            self.known.update(again)
+            self.weight += sum(map(len, again)) + sum(map(len, again.values())) + ENTRY_BYTES * len(again)
         self._learn(wanted - back)
         of = self.known.__getitem__
         out = [b"".join([b"".join(map(of, p)) if isinstance(p, list) else np.array([p], dtype="<u4").tobytes() for p in parts]) for parts in cut]
         for w in [w for w in wanted if len(w) > LONG_WORD]:
-            ids = self.known.pop(w)
-            self.weight -= len(w) + len(ids) + ENTRY_BYTES
+            self.weight -= len(w) + len(self.known.pop(w)) + ENTRY_BYTES
         return out
 
 
