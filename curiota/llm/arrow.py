@@ -55,10 +55,12 @@ def filter_rows(df: DataFrame, column: str, make: Callable[[], Callable]) -> Dat
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Keep the cluster's ``spark.checkpoint.dir``; set a folder only where none is set."""
+    """Keep the cluster's ``spark.checkpoint.dir``; in local mode without one, a folder of this machine."""
     if spark.sparkContext.getCheckpointDir() is None:
         where = spark.conf.get("spark.checkpoint.dir", None)
         if where is None:
+            if not spark.sparkContext.master.split("[")[0] == "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             import tempfile
 
             where = tempfile.mkdtemp(prefix="curiota-checkpoint-")

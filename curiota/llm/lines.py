@@ -10,8 +10,11 @@ document for counting, and each loses the same keys; rows without an id count
 as one document together and lose nothing.  Keys travel as two
 64-bit hashes.  Counting is pre-aggregated per task, first by key and document
 and then by key, so a line that a third of all documents hold is a handful of
-partial counts; dropping is an equality join whose large partitions Spark can
-split.  Only texts that lose a line are reassembled, by position, in Python.
+partial counts; dropping is an equality join of two written tables, whose large
+partitions Spark splits.  Only texts that lose a line are reassembled, by
+position, in Python.  Ties cannot arise: the largest id is one document.  An
+empty table gives an empty one, very long texts are lines like others, and
+other columns travel in a struct, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from curiota.llm.arrow import ensure_checkpoint_dir
+
 #: White space that is stripped from keys, and case folding of ASCII letters only.
 STRIPPED = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -45,6 +50,8 @@ def _key_hash(line: str) -> tuple[int, int]:
 
 def drops(df: DataFrame, min_chars: int, min_docs: int, id_col: str, text_col: str) -> DataFrame:
     """``id, gone array<struct<a,b>>``: the hashed keys that each document loses."""
+    ensure_checkpoint_dir(df.sparkSession)
+    # written once: both the counts and the lookup read it, and a task that is lost does not split all texts again
     held = (
         df.select(F.col(f"`{id_col}`").alias("id"), F.explode(F.split(F.col(f"`{text_col}`"), "\n")).alias("line"))
         .where(F.length("line") >= min_chars)
@@ -52,14 +59,17 @@ def drops(df: DataFrame, min_chars: int, min_docs: int, id_col: str, text_col: s
         .where(F.length("key") >= min_chars)
         .select("id", F.xxhash64("key").alias("a"), F.xxhash64(F.lit(1), F.col("key")).alias("b"))
         .distinct()
+        .checkpoint()
     )
+    # written too, so that nothing stands between the join and its shuffles: Spark splits the partitions of a hot key
     common = (
         held.groupBy("a", "b")
         .agg(F.count("*").alias("n"), F.max("id").alias("keeper"))
         .where(F.col("n") >= min_docs)
         .drop("n")
+        .checkpoint()
     )
-    lost = held.join(common, ["a", "b"]).where(F.col("id") != F.col("keeper"))
+    lost = held.where("id IS NOT NULL").join(common, ["a", "b"]).where(F.col("id") != F.col("keeper"))
     return lost.groupBy("id").agg(F.collect_list(F.struct("a", "b")).alias("gone"))
 
 
@@ -78,6 +88,12 @@ def _without(texts: pd.Series, first: pd.Series, second: pd.Series) -> pd.DataFr
     return pd.DataFrame({"kept": [r[0] for r in rows], "n": pd.array([r[1] for r in rows], dtype="Int64")})
 
 
+def _free(columns: list[str]) -> str:
+    """A name that no column has in any case; a struct needs one field."""
+    taken = {c.lower() for c in columns}
+    return next(n for n in ("_" * k for k in range(1, len(taken) + 3)) if n not in taken)
+
+
 def dedup_lines(
     df: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -85,7 +101,7 @@ def dedup_lines(
     packed = df.select(
         F.col(f"`{id_col}`").alias("id"),
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"),
-        F.struct(*(F.col(f"`{c}`") for c in df.columns if c not in (id_col, text_col)), F.lit(0).alias("__")).alias("row"),
+        F.struct(F.lit(0).alias(_free(df.columns)), *(F.col(f"`{c}`") for c in df.columns if c not in (id_col, text_col))).alias("row"),
     )
     gone = drops(df, min_chars, min_docs, id_col, text_col).withColumnRenamed("id", "lost_id")
     touched = packed.join(gone, F.col("id") == F.col("lost_id"), "left")

@@ -462,3 +462,27 @@ def test_character_model_counts_every_trigram(spark):
     assert len(counts) > 100_000
     model = toxicity.character_model(table(spark, list(enumerate(texts))))
     assert model.three == counts and model.total == sum(counts.values()) + 1
+
+
+def test_lines_with_clashing_columns_and_a_hot_line(spark):
+    line = "a line that very many of the documents hold, word for word"
+    rows = [(i, f"{line}\nown line number {i}", "u", "v") for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, __ string, _ string").repartition(8)
+    kept = lines.drop_lines(docs)
+    assert kept.columns == docs.columns
+    assert {(r.doc_id, r.text) for r in kept.where("doc_id >= 2998").collect()} == {(2998, "own line number 2998"), (2999, rows[-1][1])}
+    # under the join there are shuffles of written tables, so a hot key's partition can be split
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        join = lines.drops(docs, 40, 5, "doc_id", "text")
+        text = join._jdf.queryExecution().sparkPlan().toString()
+        after = text[text.index("Join") :]
+        assert "Aggregate" not in after and after.count("Scan") == 2
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_unfinished_components_are_an_error(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(60)], "u bigint, v bigint")
+    with pytest.raises(RuntimeError):
+        simhash.components(edges, rounds=1)
