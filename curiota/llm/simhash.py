@@ -146,10 +146,11 @@ def links(classes: DataFrame, distance: int) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
     """``node, root``: the smallest node reachable, for every node that has an edge (u, v).
 
-    Alternates large-star and small-star until nothing changes.  Only a count
+    Alternates large-star and small-star until nothing changes; rounds grow as
+    the logarithm of the edges, and running out of them is an error.  Only a count
     and a checksum reach the driver; each round's edges go to the shared
     checkpoint folder, so a lost executor repeats one round at most.
     """
@@ -167,9 +168,9 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         current = small.select("e.u", "e.v").where("u <> v").distinct().checkpoint()
         now = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
-            break
+            return current.toDF("node", "root")
         mark = now
-    return current.toDF("node", "root")
+    raise RuntimeError(f"components are not closed after {rounds} rounds")
 
 
 def _rooted(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -49,6 +49,8 @@ SALTS = 32
 #: Filters have at most this many 64-bit words (64 MB).
 FILTER_WORDS = 1 << 23
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+#: Odd factors of the hashes by seed.
+_FACTORS = np.random.default_rng(8).integers(0, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -71,13 +73,15 @@ class Words:
         self.hashes = np.array([digest(w) for w in self.words], dtype=np.uint64)
 
     def runs(self, length: int, seed: int = 0) -> np.ndarray:
-        """Hash of the run of ``length`` words at each place."""
+        """Hash of the run of ``length`` words at each place; seeds have word hashes and factors of their own."""
         n = len(self.words) - length + 1
         if n <= 0:
             return np.empty(0, dtype=np.uint64)
-        total, factor = np.zeros(n, dtype=np.uint64), np.uint64(seed * 2 + 1)
+        factor = _GOLDEN if not seed else _FACTORS[seed]
+        hashes = self.hashes if not seed else _mix(self.hashes * factor + _FACTORS[-seed])
+        total = np.zeros(n, dtype=np.uint64)
         for i in range(length):
-            total = total * _GOLDEN + (self.hashes[i : i + n] ^ factor)
+            total = total * factor + hashes[i : i + n]
         return _mix(total)
 
     def anchors(self, window: int) -> tuple[np.ndarray, np.ndarray]:
