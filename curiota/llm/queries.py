@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from curiota.llm import codec, fingerprint, lines, packing, quality, secrets, simhash, substring, token_count, toxicity
 
-#: Texts whose words train the ordinary-identifier model of operator 1.
+#: Documents, chosen by a hash, whose labelled strings train the models of operator 1.
 TRAIN_ROWS = 500
 
 

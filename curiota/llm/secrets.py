@@ -6,9 +6,11 @@ identifiers, then score every other long token by its log-likelihood ratio;
 tokens above the threshold are added as spans of kind ``markov``.  Both models
 are trained from labelled samples.
 
-Positions are code points, ends exclusive; a span is a whole match.  A null
-text counts as empty and has no spans.  Rows are independent; ids may repeat or
-be null.
+Positions are code points, ends exclusive; a span is a whole match.  A null or
+empty text has no spans.  Rows are independent; ids may repeat or be null, ties
+do not arise, and an empty table gives an empty one (the models then learn from
+the fixed samples alone).  Very long texts are scanned whole.  Other columns
+keep their names; in :func:`redact` they travel in a struct and cannot clash.
 """
 
 from __future__ import annotations
@@ -27,9 +29,11 @@ ASSIGN_VALUE = 12
 KINDS = ("assign", "access", "hex", "markov")
 
 #: Tokens that the models score.
-TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}(?![A-Za-z0-9+/_-])"
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}(?![A-Za-z0-9+/_-])"
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
 REDACTED = "[SECRET]"
+#: Log-likelihood ratio above which a token is taken for a random string.
+THRESHOLD = 10.0
 
 #: Words of ordinary identifiers, the labelled sample that every model learns from.
 ORDINARY = """
@@ -43,6 +47,16 @@ external factory field file filter find first format forward frame function gene
 header height history identifier image import index information initial input insert instance integer interface internal
 interval invalid item iterator join key label language last layer length level library line link list load local location
 logger manager mapping margin master match matrix maximum measure memory message method minimum model module monitor
+name network node normal notify number object offset open operation option order output owner package page parameter parent
+parse password path pattern payload percent period pixel place player plugin pointer policy pool position prefix previous
+print priority private process product profile program project property protocol provider public quality quantity query
+queue quick random range rate reader record reference region register release remote remove render report request reset
+resource response result return role root route rule runner sample scale schema scope screen search section select send
+sequence server service session setting shape shared signal simple single size socket sort source space start state static
+status step stop storage store stream string style submit subject suffix switch symbol system table target task template
+term text thread time title toggle token total track transfer tree trigger type unit update upload user util valid value
+variable vector version view visible visit wait watch weight width widget window wizard word worker wrapper write xml year
+yield zero zone zoom
 """.split()
 
 
@@ -90,7 +104,7 @@ class MarkovModel:
         )
 
 
-def train(samples: DataFrame, threshold: float = 6.0) -> MarkovModel:
+def train(samples: DataFrame, threshold: float = THRESHOLD) -> MarkovModel:
     """Fit both models from ``text string, label int`` (1: random, 0: ordinary).
 
     Pairs are counted by Spark; at most two counts per character pair reach the driver.
@@ -116,13 +130,20 @@ def train(samples: DataFrame, threshold: float = 6.0) -> MarkovModel:
     return MarkovModel(tuple(r - o for r, o in zip(log[1], log[0], strict=True)), threshold)
 
 
-def labelled_samples(spark: SparkSession, documents: DataFrame, rows: int, text_col: str = "text") -> DataFrame:
-    """Random strings from a seeded rule, ordinary identifiers from a fixed list and words of at most ``rows`` texts.
+def labelled_samples(
+    spark: SparkSession, documents: DataFrame, rows: int, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``text, label``: random strings (1) and ordinary identifiers (0).
 
-    The ordinary side holds single words and pairs of neighbours joined as
-    snake case and camel case; words with digits are left out.
+    Both sides have fixed samples, from a seeded rule and from a listed
+    vocabulary, and labelled ones from at most ``rows`` documents: strings that
+    the base rules find are random, the other words ordinary, alone and joined
+    with their neighbours in snake and camel case, and in capitals; words with digits have no
+    label.  The documents are those of the least hash of id and text in the
+    whole table, so the same table gives the same models however it is stored.
     """
     listed = [ORDINARY[i] + j + x for i in range(len(ORDINARY)) for k in (1, 7, 31) for y in [ORDINARY[(i + k) % len(ORDINARY)]] for j, x in (("_", y), ("", y.capitalize()), ("-", y))]
+    listed += [x.replace("-", "_").upper() for x in listed]
     fixed = spark.range(1).select(F.explode(F.split(F.lit(" ".join(listed)), " ")).alias("text"), F.lit(0).alias("label"))
     digest = F.sha2(F.concat(F.lit("sample-"), F.col("id").cast("string")), 256)
     random = spark.range(4000).select(
@@ -132,13 +153,33 @@ def labelled_samples(spark: SparkSession, documents: DataFrame, rows: int, text_
         .alias("text"),
         F.lit(1).alias("label"),
     )
-    word = F.filter(F.split(F.col(f"`{text_col}`"), r"[^A-Za-z0-9]+"), lambda w: (F.length(w) >= 3) & ~w.rlike("[0-9]"))
-    words = documents.select(F.col(f"`{text_col}`")).limit(rows).select(F.slice(word, 1, 400).alias("w"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    chosen = (
+        documents.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+        .orderBy(F.xxhash64("id", "text"), "id", "text")
+        .limit(rows)
+        .select(text.alias("text"))
+    )
+    found = F.concat(
+        F.filter(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(1)), lambda x: F.length(x) >= ASSIGN_VALUE),
+        F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)),
+        F.regexp_extract_all("text", F.lit(HEX), F.lit(0)),
+    )
+    plain = F.regexp_replace(F.regexp_replace(F.regexp_replace("text", ASSIGN, " "), ACCESS, " "), HEX, " ")
+    word = F.filter(F.split(plain, r"[^A-Za-z0-9]+"), lambda w: (F.length(w) >= 3) & ~w.rlike("[0-9]"))
+    parts = chosen.select(found.alias("found"), word.alias("w"))
     joined = F.zip_with(
-        "w", F.slice("w", 2, 400), lambda a, b: F.concat(a, F.lit("_"), F.coalesce(b, F.lit("id")), F.initcap(F.coalesce(b, F.lit("id"))), a)
+        "w", F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))), lambda a, b: F.concat(a, F.lit("_"), F.coalesce(b, F.lit("id")), F.initcap(F.coalesce(b, F.lit("id"))), a)
     )
-    ordinary = words.select(F.explode(F.concat("w", joined)).alias("text"), F.lit(0).alias("label"))
-    return random.unionByName(ordinary).unionByName(fixed)
+    labelled = parts.select(
+        F.explode(
+            F.concat(
+                F.transform("found", lambda x: F.struct(x.alias("text"), F.lit(1).alias("label"))),
+                F.transform(F.concat("w", joined, F.transform("w", F.upper)), lambda x: F.struct(x.alias("text"), F.lit(0).alias("label"))),
+            )
+        ).alias("x")
+    ).select("x.text", "x.label")
+    return random.unionByName(labelled).unionByName(fixed)
 
 
 def _with_spans(staged: DataFrame, model: MarkovModel) -> DataFrame:

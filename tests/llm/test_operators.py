@@ -486,3 +486,19 @@ def test_unfinished_components_are_an_error(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(60)], "u bigint, v bigint")
     with pytest.raises(RuntimeError):
         simhash.components(edges, rounds=1)
+
+
+def test_markov_models_tell_random_strings_from_identifiers(spark, docs):
+    model = secrets.train(secrets.labelled_samples(spark, docs, 100))
+    assert model == secrets.train(secrets.labelled_samples(spark, docs.repartition(7), 100))
+    rng = random.Random(12)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    secret = ["".join(rng.choice(signs) for _ in range(rng.randint(16, 40))) for _ in range(400)]
+    parts = "payment invoice reader writer parser queue worker session policy window engine market report customer shipping address".split()
+    plain = ["".join(w.capitalize() if k % 2 else w for w in rng.sample(parts, 4)) if k % 3 else "_".join(rng.sample(parts, 3)) for k in range(400)]
+    plain = [p for p in plain if len(p) >= 16]
+    rows = [(i, f"see {x} there") for i, x in enumerate(secret + plain)]
+    out = by_id(secrets.digest(secrets.scan(table(spark, rows), model)))
+    caught = sum(out[i]["n_markov"] for i in range(len(secret)))
+    wrong = sum(out[i]["n_markov"] for i in range(len(secret), len(rows)))
+    assert caught >= 0.95 * len(secret) and wrong <= 0.01 * len(plain), (caught, wrong)
