@@ -250,9 +250,52 @@ def test_fingerprints(spark, docs, rows, empty):
 
 def test_sliding_entropy():
     rng = np.random.default_rng(2)
-    data = rng.integers(97, 103, 300).astype(np.uint8)
-    plain = [sum(int((c * (c - 1) // 2).sum()) for c in [np.bincount(data[i : i + fingerprint.WIDTH])]) for i in range(300 - fingerprint.WIDTH + 1)]
-    assert fingerprint.pair_classes(data).tolist() == plain
+    for n in (0, 1, 20, 31, 32, 33, 300):
+        data = rng.integers(97, 103, n).astype(np.uint8)
+        plain = [int(sum(c * (c - 1) // 2 for c in np.bincount(data[max(0, i - fingerprint.WIDTH + 1) : i + 1]))) for i in range(n)]
+        assert fingerprint.pair_classes(data).tolist() == plain
+
+
+def plain_selected(data, ranks):
+    """The places that win a quarter of a span of stretches, one stretch at a time."""
+    rank = [ranks[sum(c * (c - 1) // 2 for c in collections.Counter(data[max(0, i - fingerprint.WIDTH + 1) : i + 1]).values())] for i in range(len(data))]
+    wins = collections.Counter()
+    for start in range(1 - fingerprint.SPAN, len(data)) if data else ():
+        places = range(max(0, start), min(len(data), start + fingerprint.SPAN))
+        wins[min(places, key=lambda i: (rank[i], i))] += 1
+    return sorted(i for i, n in wins.items() if n >= fingerprint.SPAN // fingerprint.POPULAR)
+
+
+def test_fingerprints_against_brute_force(spark, docs, rows, monkeypatch):
+    histogram, size, count = fingerprint.corpus_statistics(docs)
+    assert (size, count) == (sum(len((t or "").encode()) for _, t in rows), len(rows)) and histogram.sum() == size
+    ranks = fingerprint.rank_table(histogram)
+    found = {i: fingerprint.selected((t or "").encode(), ranks) for i, t in rows}
+    for i, t in rows:
+        assert found[i] == plain_selected((t or "").encode(), ranks) and bool(found[i]) == bool(t)
+    out = by_id(fingerprint.against_next(docs))
+    order = sorted(rows, reverse=True, key=lambda r: r[0])
+    for j, (i, t) in enumerate(order):
+        mark = fingerprint.fingerprint((t or "").encode(), ranks)
+        other = fingerprint.edited(t or "", order[(j + 1) % len(order)][1] or "")
+        assert out[i]["fingerprint"] == mark and out[i]["edited_fingerprint"] == fingerprint.fingerprint(other.encode(), ranks)
+        assert out[i]["near_edited"] == pytest.approx(fingerprint.likeness(mark, out[i]["edited_fingerprint"]))
+    monkeypatch.setattr(fingerprint, "_BLOCK", 100)
+    assert {i: fingerprint.selected((t or "").encode(), ranks) for i, t in rows} == found
+
+
+def test_likeness_is_continuous_in_the_length(docs):
+    ranks = fingerprint.rank_table(fingerprint.corpus_statistics(docs)[0])
+    rng = random.Random(9)
+    text = " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(400)).encode()
+    other = bytes(reversed(text))
+    mark = lambda x: fingerprint.fingerprint(x, ranks)
+    for n in (*range(60, 200, 3), *range(600, 700, 7), 2000):
+        assert fingerprint.likeness(mark(text[:n]), mark(text[: n + 1])) > 0.6, n
+        # a text and the two thirds of it that an edit keeps
+        assert fingerprint.likeness(mark(text[:n]), mark(text[: n - n // 3])) > 0.4, n
+        assert fingerprint.likeness(mark(text[:n]), mark(other[:n])) < 0.2, n
+    assert fingerprint.likeness(mark(b"=" * 200), mark(b"-" * 300)) < 0.2 < fingerprint.likeness(mark(b"=" * 200), mark(b"=" * 300))
 
 
 def test_packing(spark, docs, rows, empty):
@@ -391,7 +434,8 @@ def test_rows_without_an_id(spark):
     assert quality.cascade(docs).count() == packing.pack_documents(docs, WORD).count() == toxicity.toxicity(docs, labels).count() == 8
     assert {r.component_id for r in simhash.near_duplicates(docs).collect()} == {0}
     assert {r.doc_id for r in simhash.drop_near_duplicates(docs).collect()} == {0}
-    assert fingerprint.against_next(docs).count() == 6
+    marks = fingerprint.against_next(docs).collect()
+    assert len(marks) == 8 and sum(r.doc_id is None for r in marks) == 2 and {r.near_next for r in marks} == {1.0}
     gone = sorted((r.doc_id is not None, r.n_removed) for r in substring.dedup_substrings(docs).collect())
     assert gone == [(False, 0)] * 2 + [(True, len(text.split()))] * 6
     dropped = sorted((r.doc_id if r.doc_id is not None else -1, r.n_dropped) for r in lines.dedup_lines(docs).collect())
