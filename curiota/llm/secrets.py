@@ -153,13 +153,11 @@ def labelled_samples(
         .alias("text"),
         F.lit(1).alias("label"),
     )
-    text = F.coalesce(F.col("text"), F.lit(""))
-    chosen = (
-        documents.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-        .orderBy(F.xxhash64("id", "text"), "id", "text")
-        .limit(rows)
-        .select(text.alias("text"))
-    )
+    named = documents.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    hashed = named.select(F.xxhash64("id", "text").alias("h"), "text")
+    # one number reaches the driver; texts are not sorted
+    least = hashed.select("h").orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    chosen = hashed.where(F.col("h") <= F.lit(least).cast("bigint")).dropDuplicates(["h"]).select("text")
     found = F.concat(
         F.filter(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(1)), lambda x: F.length(x) >= ASSIGN_VALUE),
         F.regexp_extract_all("text", F.lit(ACCESS), F.lit(0)),
