@@ -25,6 +25,11 @@ def _single_letters() -> tuple[str, str]:
     return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
 
 
+def letters() -> tuple[tuple[str, str], dict[str, str]]:
+    """What :func:`fold` replaces: letters by one letter, and letters by several."""
+    return _single_letters(), {a: b for a, b in _LIGATURES.items() if len(b) > 1}
+
+
 def fold(c: Column) -> Column:
     """Latin text in ASCII letters, without Python; other scripts stay as they are."""
     out = F.translate(c, *_single_letters())

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from curiota.functions.names import author_similarity, compare_ranks, name_score, name_variants, parse_authorship, years_apart
 from curiota.functions.naming import col
+from curiota.functions.durable import durable
 from curiota.functions.nulls import is_missing
 from curiota.functions.text import strip_quotes
 from curiota.operators.registry import operator
@@ -75,32 +77,45 @@ def match_filter(queries: DataFrame, answers: DataFrame) -> DataFrame:
     return kept.select("raw", "variant", "query", *record, F.coalesce("match_type", F.lit("nomatch")).alias("match_type")).dropDuplicates(["raw", "AphiaID", "match_type"])
 
 
-def accepted_filter(records: DataFrame, register: DataFrame, rounds: int = 10) -> DataFrame:
-    """``id, accepted_id, status, hops``: ``valid_AphiaID`` followed until it points to itself.
+def accepted_filter(records: DataFrame, register: DataFrame, most: int = 1000) -> DataFrame:
+    """``id, accepted_id, status, hops``: ``valid_AphiaID`` followed until it points to itself, however long the chain.
 
     Ids that come back to one seen before get status ``cycle``; a pointer without
-    a record gets ``match_quarantine``.  Each round is one equality join.
+    a record gets ``match_quarantine``.  Each round is one equality join of the
+    ids that are still under way; two rounds at a time are written, and one
+    count decides on further ones.  A chain of over ``most`` records is an error.
     """
     step = register.select(F.col("AphiaID").alias("__id"), F.col("valid_AphiaID").alias("__to")).dropDuplicates(["__id"])
     now = records.select(F.col("AphiaID").alias("id"), F.col("valid_AphiaID").alias("at")).where("id is not null").dropDuplicates(["id"])
     now = now.select("id", F.coalesce("at", "id").alias("at"), F.array("id").alias("path"), F.lit(None).cast("string").alias("status"))
-    for _ in range(rounds):
-        moved = now.join(step, (F.col("at") == F.col("__id")) & F.col("status").isNull(), "left")
+
+    def moved(under_way: DataFrame) -> DataFrame:
+        met = under_way.join(step, (F.col("at") == F.col("__id")) & F.col("status").isNull(), "left")
         here = F.col("at") == F.element_at("path", -1)
-        seen = F.array_contains("path", F.col("at")) & ~here
         status = (
             F.when(F.col("status").isNotNull(), F.col("status"))
             .when(here | (F.col("__to") == F.col("at")), F.lit("accepted"))
-            .when(seen, F.lit("cycle"))
+            .when(F.array_contains("path", F.col("at")), F.lit("cycle"))
             .when(F.col("__id").isNull(), F.lit("match_quarantine"))
         )
-        now = moved.select(
+        return met.select(
             "id",
             F.when(status.isNull(), F.coalesce("__to", "at")).otherwise(F.col("at")).alias("at"),
             F.when(status.isNull(), F.concat("path", F.array("at"))).otherwise(F.col("path")).alias("path"),
             status.alias("status"),
         )
-    return now.select("id", F.when(F.col("status") == "accepted", F.col("at")).alias("accepted_id"), F.coalesce("status", F.lit("cycle")).alias("status"), (F.size("path") - 1).alias("hops"))
+
+    done = []
+    for _ in range(0, most, 2):
+        now = durable(moved(moved(now)))
+        done.append(now.where("status IS NOT NULL"))
+        now = now.where("status IS NULL")
+        if now.isEmpty():
+            break
+    else:
+        raise RuntimeError(f"a chain of over {most} records")
+    ended = reduce(DataFrame.unionAll, done)
+    return ended.select("id", F.when(F.col("status") == "accepted", F.col("at")).alias("accepted_id"), "status", (F.size("path") - 1).alias("hops"))
 
 
 @dataclass(frozen=True)
@@ -108,6 +123,8 @@ class Settings:
     """What resolution may be told."""
 
     ranks: tuple[str, ...] = tuple(HIGHER)
+    #: candidates whose name ratio is that near to the best one's stay in question
+    name_tolerance: float = 1e-2
     fuzzy: bool = True
     rank_ratio: float = 0.7
     name_ratio: float = 0.8
@@ -217,10 +234,11 @@ def _choose(raw: str | None, given: dict, verbatims: list, candidates: list[dict
             hits = max(scores[i][0] for i in best)
             first = [i for i in best if scores[i][0] == hits]
             high = max(scores[i][1] for i in first)
-            first = [i for i in first if scores[i][1] == high]
+            first = [i for i in first if high - scores[i][1] < s.name_tolerance]
             if len(first) == 1:
                 return Decision("match", "classification_bestSpeciesName", first[0])
-        if all(candidates[i].get("status") == "accepted" for i in best):
+        alike = {(*(candidates[i].get(r) for r in HIGHER), candidates[i].get("status")) for i in best}
+        if len(alike) == 1 and candidates[best[0]].get("status") == "accepted":
             return Decision("uncertain", "classification_allAccepted")
         return Decision("uncertain", "classification_undecided")
     kingdom = given.get("kingdom")

@@ -28,7 +28,7 @@ from curiota.functions.naming import current
 from curiota.functions.nulls import stdnan
 from curiota.operators.registry import REGISTRY, Operator
 from curiota.operators.transforms import cast_to, select_columns
-from curiota.plans.steps import ENGINE_ONLY, known
+from curiota.plans.steps import ENGINE_ONLY, FIXED, known
 
 MULTI = "tool"
 #: Land filters reduce rows before anything else; review comes first afterwards.
@@ -106,7 +106,11 @@ def _steps(section, allowed: set[str], where: str) -> list[Step]:
                     raise PlanError(f"{where}: {name} is not an operator of this section")
                 if meant.keyed == (column == MULTI):
                     raise PlanError(f"{where}: {name} goes under {'a column' if meant.keyed else MULTI!r}")
-                parameters = {k: _boolean(v) for k, v in (parameters or {}).items() if k in meant.parameters or k not in ENGINE_ONLY}
+                given = {k: _boolean(v) for k, v in (parameters or {}).items()}
+                for k in FIXED.keys() & given.keys() - set(meant.parameters):
+                    if given.pop(k) != FIXED[k]:
+                        raise PlanError(f"{where}: {name} has no {k} other than {FIXED[k]}")
+                parameters = {k: v for k, v in given.items() if k in meant.parameters or k not in ENGINE_ONLY}
                 try:
                     meant.check(parameters)
                 except TypeError as error:

@@ -14,9 +14,12 @@ from curiota.sources.text import ADAPTERS
 ENGINE_ONLY = {
     "parallel", "cpu", "resume", "resume_parallel", "resume_mode", "overwrite", "overwrite_parallel", "skip_uniques_rebuild", "max_attempt",
     "pause_duration", "outputdir", "outputfile", "verbose", "indent", "filterfile", "split_type", "chunksize", "splitdir", "cleanup", "wormscall",
-    "worms_dtypes", "doublecheck", "check_ambiguity", "drop_empty", "inplace", "store_time", "store_stats", "java_exception", "format", "memory",
+    "worms_dtypes", "inplace", "store_time", "store_stats", "java_exception", "memory",
 }
 
+#: Settings that change results: where an operator has none of the name, only the value that it acts on is accepted.
+FIXED = {"doublecheck": True, "check_ambiguity": False, "drop_empty": False, "format": None}
+
 STEPS: dict[str, Operator] = {}
 
 

@@ -285,7 +285,7 @@ def test_whole_fold(spark, tmp_path):
     plain = "ss ae AE oe OE o O d D l L d D th Th i x ' ' \" \" - -".split()
     rows = [(i, f"a{c}é{c}日") for i, c in enumerate(special)] + [(100, None), (101, ""), (102, "ø" + "x" * 150_000 + "Łß")]
     spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
-    got = {r.doc_id: r.folded for r in catalog.queries()["fold_whole"](spark, str(tmp_path)).collect()}
+    got = {r.doc_id: r.folded for r in catalog.queries()["fold"](spark, str(tmp_path)).collect()}
     expected = {i: f"a{p}e{p}日" for i, p in enumerate(plain)} | {100: None, 101: "", 102: "o" + "x" * 150_000 + "Lss"}
     assert got == expected
 
@@ -296,9 +296,42 @@ def test_whole_marineloc_and_lookup(spark):
     valid = [r for r in places if r.lat is not None and r.lon is not None and -90 <= r.lat <= 90 and -180 <= r.lon <= 180]
     sea = sorted((r.l_orderkey, r.l_linenumber) for r in valid if not (-45 <= r.lat < 45 and -90 <= r.lon < 90))
     assert any(r.lat == 45 or abs(r.lon) == 90 for r in valid)
-    assert values(catalog.queries()["marineloc_whole"](spark, d), "l_orderkey", "l_linenumber") == sea
+    assert values(catalog.queries()["marineloc"](spark, d), "l_orderkey", "l_linenumber") == sea
 
     keys = [r.s_suppkey for r in spark.read.parquet(f"{d}/supplier.parquet").select("s_suppkey").collect()]
     points = {k: k - 1 if k % 4 == 0 and k > 0 else k for k in keys} | {k: 24 - k for k in keys if k in (8, 16)}
     assert any(k % 4 == 0 for k in keys)
-    assert values(catalog.queries()["register_lookup_whole"](spark, d), "AphiaID", "valid_AphiaID") == sorted(points.items())
+    assert values(catalog.queries()["register_lookup"](spark, d), "AphiaID", "valid_AphiaID") == sorted(points.items())
+
+
+def test_chains_of_any_length(spark):
+    from curiota.operators import taxonomy
+
+    links = [(i, i - 1 if i else 0) for i in range(25)] + [(100, 101), (101, 102), (102, 100), (200, 999)]
+    register = spark.createDataFrame(links, "AphiaID bigint, valid_AphiaID bigint")
+    out = {r.id: (r.accepted_id, r.status) for r in taxonomy.accepted_filter(register, register).collect()}
+    assert out == {i: (0, "accepted") for i in range(25)} | {i: (None, "cycle") for i in (100, 101, 102)} | {200: (None, "match_quarantine")}
+    with pytest.raises(RuntimeError):
+        taxonomy.accepted_filter(register, register, most=4)
+
+
+def test_settings_that_change_results_are_not_dropped(spark):
+    from curiota.plans.plan import PlanError, from_dict
+
+    plan = lambda **more: from_dict({"processing": [{"species": [{"isinworms": {"register": "x", **more}}]}]})
+    plan(doublecheck=True, drop_empty=False)
+    with pytest.raises(PlanError):
+        plan(check_ambiguity=True)
+
+
+def test_near_ties_of_names_stay_undecided():
+    from curiota.operators import taxonomy
+
+    ranks = {r: "X" for r in taxonomy.HIGHER}
+    base = {**ranks, "match_type": "near_1", "isMarine": 1}
+    names = ["Melampus striatellatissimus", "Melampus striatellatissimas"]
+    candidates = [{**base, "AphiaID": i, "valid_AphiaID": i, "scientificname": n, "status": s} for i, (n, s) in enumerate(zip(names, ("accepted", "accepted"), strict=True))]
+    raw = "Melampus striatellatissimos"
+    assert taxonomy.resolve_match(raw, ranks, [], candidates).reason == "classification_allAccepted"
+    candidates[1]["status"] = "unaccepted"
+    assert taxonomy.resolve_match(raw, ranks, [], candidates).reason == "classification_undecided"
