@@ -4,20 +4,39 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 #: Rows of a record batch that are Python objects at the same time.
 SLICE_ROWS = 256
+#: Bytes of their texts.
+SLICE_BYTES = 4 << 20
 
 
 def parse_schema(schema: str) -> StructType:
     return _parse_datatype_string(schema)
 
 
-def map_columns(df: DataFrame, columns: Sequence[str], make: Callable[[], Callable], schema: str) -> DataFrame:
+def slices(batch: pa.RecordBatch, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of at most ``rows`` rows and ``SLICE_BYTES`` bytes of text, or of one row."""
+    sizes = np.zeros(batch.num_rows, dtype=np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+            sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes)
+    lo = 0
+    while lo < batch.num_rows:
+        before = int(ends[lo - 1]) if lo else 0
+        hi = max(lo + 1, min(lo + rows, int(np.searchsorted(ends, before + SLICE_BYTES, side="right"))))
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
+def map_columns(df: DataFrame, columns: Sequence[str], make: Callable[[], Callable], schema: str, rows: int = SLICE_ROWS) -> DataFrame:
     """Run ``make()(*lists)`` over slices of the given columns.
 
     ``make`` runs once per task and returns a function from column lists to a
@@ -29,8 +48,7 @@ def map_columns(df: DataFrame, columns: Sequence[str], make: Callable[[], Callab
         arrow = to_arrow_schema(struct)
         work = make()
         for batch in batches:
-            for lo in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(lo, SLICE_ROWS)
+            for part in slices(batch, rows):
                 out = work(*(part.column(i).to_pylist() for i in range(part.num_columns)))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, type=f.type) for c, f in zip(out, arrow, strict=True)], schema=arrow
@@ -47,8 +65,7 @@ def filter_rows(df: DataFrame, column: str, make: Callable[[], Callable]) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = make()
         for batch in batches:
-            for lo in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(lo, SLICE_ROWS)
+            for part in slices(batch):
                 yield part.filter(pa.array(keep(part.column(at).to_pylist()), type=pa.bool_()))
 
     return df.mapInArrow(run, df.schema)

@@ -33,11 +33,12 @@ WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Longer words (in bytes) are merged on their own and not remembered.
 LONG_WORD = 64
 #: Ids of words that are merged together; bytes of remembered words in each of two generations, and of an entry besides its text.
-CELLS, MEMORY_BYTES, ENTRY_BYTES = 1 << 16, 32 << 20, 200
+CELLS, MEMORY_BYTES, ENTRY_BYTES = 1 << 16, 48 << 20, 200
 #: Widths to which words are filled up.
 WIDTHS = (1, 3, 5, 7, 9, 11, 13, 16, 20, 28, 40, LONG_WORD)
 #: Characters of texts that are encoded together.
-GROUP = 1 << 21
+GROUP = 1 << 22
+GROUP_ROWS = 4096
 NO_RANK = (1 << 31) - 1
 #: Python splits at these four separators, the vocabulary's pattern does not.
 _CONTROLS = re.compile("[\x1c-\x1f]")
@@ -243,7 +244,7 @@ def pieces(
 
     kind = df.schema[id_col].dataType.simpleString()
     schema = f"id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
-    return map_columns(df.select(F.col(f"`{id_col}`").alias("id"), f"`{text_col}`"), ["id", text_col], make, schema)
+    return map_columns(df.select(F.col(f"`{id_col}`").alias("id"), f"`{text_col}`"), ["id", text_col], make, schema, GROUP_ROWS)
 
 
 def best_two_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:

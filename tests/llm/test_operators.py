@@ -546,3 +546,16 @@ def test_markov_models_tell_random_strings_from_identifiers(spark, docs):
     caught = sum(out[i]["n_markov"] for i in range(len(secret)))
     wrong = sum(out[i]["n_markov"] for i in range(len(secret), len(rows)))
     assert caught >= 0.95 * len(secret) and wrong <= 0.01 * len(plain), (caught, wrong)
+
+
+def test_slices_are_bounded_by_rows_and_bytes(monkeypatch):
+    import pyarrow as pa
+
+    from curiota.llm import arrow
+
+    monkeypatch.setattr(arrow, "SLICE_BYTES", 100)
+    texts = ["a" * 30, None, "b" * 250, "", *["c" * 10] * 40, "d" * 100]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    parts = [p.column(1).to_pylist() for p in arrow.slices(batch, 16)]
+    assert [t for p in parts for t in p] == texts
+    assert all(len(p) <= 16 and (len(p) == 1 or sum(len(t or "") for t in p) <= 100) for p in parts)
