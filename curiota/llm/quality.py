@@ -1,20 +1,24 @@
 """Operator 4: quality rules as a short-circuit cascade (DataFrame functions only).
 
-Each rule is a predicate over metrics of the text.  Cost (seconds) and
-selectivity (share rejected) of every rule are estimated on a sample; rules run
-in order of rejection per cost, inside one CASE expression, so a document's
-later rules are not evaluated once one has rejected it.  The order never
-changes the verdict.
-
-A null text has no words and is rejected by the word-count rule, like an empty
-one.  Rows are independent (ids may repeat or be null); an empty table gives an empty result.  Words are
-runs of characters other than space, tab, line feed, vertical tab, form feed
+Each rule is a predicate over metrics of the text.  Its cost (characters and
+words that it visits) and selectivity (share rejected) are estimated on a
+sample; rules run in order of rejection per cost, inside one CASE expression, so
+a document's later rules, and the metrics that only they need, are not evaluated
+once one has rejected it.  The sample is drawn by a hash of id and text over the
+whole table, and costs are counted, not timed, so one table always gives one
+order.  The order never changes the verdict, only which of several rules that
+reject a text is named.
+
+A null text has no words and is rejected like an empty one.  Rows are
+independent: ids may repeat or be null, and ties do not arise (rules that tie go
+in the given order).  An empty table gives an empty result.  Very long texts are
+measured whole.  Other columns are not read, so their names cannot clash.  Words
+are runs of characters other than space, tab, line feed, vertical tab, form feed
 and carriage return.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
@@ -76,18 +80,23 @@ class Rule:
 
     name: str
     rejects: Callable[[dict[str, Column]], Column]
+    #: characters and words that the rule visits
+    work: Callable[[dict[str, Column]], Column]
 
 
 def production_rules() -> list[Rule]:
+    characters = lambda m: F.length(m["text"])
     return [
-        Rule("too_few_words", lambda m: m["n_words"] < 50),
-        Rule("repeated_windows", lambda m: m["n_repeat_words"] * 100 > m["n_words"] * 50),
-        Rule("symbols", lambda m: m["n_symbols"] * 10 > m["n_words"]),
-        Rule("duplicate_lines", lambda m: m["n_dup_lines"] * 100 > 50 * F.greatest(m["n_lines"], F.lit(1))),
-        Rule("word_length", lambda m: (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 15 * m["n_words"])),
+        Rule("too_few_words", lambda m: m["n_words"] < 50, characters),
+        # three words are hashed for every window, and windows are sorted
+        Rule("repeated_windows", lambda m: m["n_repeat_words"] * 100 > m["n_words"] * 50, lambda m: characters(m) + m["n_words"] * (3 + F.log2(m["n_words"] + 2))),
+        Rule("symbols", lambda m: m["n_symbols"] * 10 > m["n_words"], lambda m: 2 * characters(m)),
+        Rule("duplicate_lines", lambda m: m["n_dup_lines"] * 100 > 50 * F.greatest(m["n_lines"], F.lit(1)), lambda m: 2 * characters(m)),
+        Rule("word_length", lambda m: (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 15 * m["n_words"]), lambda m: 2 * characters(m)),
         Rule(
             "wordless_tokens",
             lambda m: F.size(F.filter(words_of(m["text"]), lambda w: w.rlike(r"\p{L}"))) * 100 < 70 * m["n_words"],
+            lambda m: characters(m) + m["n_words"],
         ),
     ]
 
@@ -120,19 +129,49 @@ def _metric_columns() -> dict[str, Column]:
     return {n: F.col(n) for n in names}
 
 
-def order_rules(measured: DataFrame, rules: Sequence[Rule], sample_rows: int) -> list[Rule]:
-    """Rules by rejected rows per second on at most ``sample_rows`` rows."""
-    sample = measured.limit(sample_rows).persist()
-    try:
-        n = max(sample.count(), 1)
-        found = []
-        for rule in rules:
-            began = time.perf_counter()
-            rejected = sample.agg(F.count_if(rule.rejects(_metric_columns()))).first()[0]
-            found.append((-(rejected / n) / (time.perf_counter() - began), len(found), rule))
-        return [rule for *_, rule in sorted(found, key=lambda x: x[:2])]
-    finally:
-        sample.unpersist()
+def _metric_expressions() -> dict[str, Column]:
+    """The metrics as expressions over ``text``: what no rule that is reached needs is not computed."""
+    text, words = F.col("text"), words_of(F.col("text"))
+    return {
+        "text": text,
+        "n_words": F.size(words).cast("long"),
+        "word_chars": (F.length(text) - _count_of(text, WHITE)).cast("long"),
+        "n_symbols": _count_of(text, SYMBOLS),
+        "n_dup_lines": _duplicate_lines(text),
+        "n_lines": F.size(F.filter(F.split(text, "\n"), lambda x: F.translate(x, WHITE, "") != "")).cast("long"),
+        "n_repeat_words": _covered_by_repeats(_windows(words)),
+    }
+
+
+def order_rules(df: DataFrame, rules: Sequence[Rule], sample_rows: int, id_col: str = "doc_id", text_col: str = "text") -> list[Rule]:
+    """Rules by rejected rows per unit of work, on the ``sample_rows`` rows of the least hash of id and text."""
+    hashed = df.select(
+        F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("h"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")
+    )
+    least = hashed.select("h").orderBy("h").limit(sample_rows).agg(F.max("h")).first()[0]
+    # rows that repeat id and text have one hash and count once
+    sample = with_metrics(hashed.where(F.col("h") <= F.lit(least).cast("bigint")).dropDuplicates(["h"]).select("id", "text"), "text", "id")
+    m = _metric_columns()
+    found = sample.agg(
+        *(F.count_if(r.rejects(m)).alias(f"r{i}") for i, r in enumerate(rules)),
+        *(F.coalesce(F.sum(r.work(m).cast("double")), F.lit(0.0)).alias(f"w{i}") for i, r in enumerate(rules)),
+    ).first()
+    return [rules[i] for i in sorted(range(len(rules)), key=lambda i: (-found[f"r{i}"] / max(found[f"w{i}"], 1.0), i))]
+
+
+def verdict_of(rules: Sequence[Rule], metrics: dict[str, Column]) -> Column:
+    """The name of the first rule that rejects, or null; later rules are not evaluated."""
+    verdict = F.lit(None).cast("string")
+    for rule in reversed(rules):
+        verdict = F.when(rule.rejects(metrics), F.lit(rule.name)).otherwise(verdict)
+    return verdict
+
+
+def keep(df: DataFrame, rules: Sequence[Rule] | None = None, sample_rows: int = 512, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df`` that no rule rejects; a row's metrics are computed up to the rule that rejects it."""
+    ordered = order_rules(df, list(rules or production_rules()), sample_rows, id_col, text_col)
+    staged = df.select(F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    return staged.where(verdict_of(ordered, _metric_expressions()).isNull()).select(*(F.col(f"row.`{c}`").alias(c) for c in df.columns))
 
 
 def cascade(
@@ -144,15 +183,14 @@ def cascade(
 ) -> DataFrame:
     """``id``, the metrics, ``base_failed``, ``kept`` and ``rejected_by``.
 
-    ``sample_rows`` bounds the rows on which cost and selectivity are estimated;
-    it decides the order of evaluation only.
+    All metrics are asked for here; :func:`keep` computes no more than a verdict
+    needs.  ``sample_rows`` bounds the rows on which cost and selectivity are
+    estimated; it decides the order of evaluation only.
     """
     rules = list(rules or production_rules())
     measured = with_metrics(df, text_col, id_col)
     columns = _metric_columns()
-    verdict = F.lit(None).cast("string")
-    for rule in reversed(order_rules(measured, rules, sample_rows)):
-        verdict = F.when(rule.rejects(columns), F.lit(rule.name)).otherwise(verdict)
+    verdict = verdict_of(order_rules(df, rules, sample_rows, id_col, text_col), columns)
     base = F.lit(False)
     for rule in rules:
         if rule.name in BASE_RULES:

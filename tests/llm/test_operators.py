@@ -221,10 +221,20 @@ def test_quality(spark, docs, rows, empty):
         r = out[i]
         assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == expected
         assert r["base_failed"] == (len(w) < 50 or 100 * len(covered) > 50 * len(w))
-        assert not (r["base_failed"] and r["kept"])
+        letters = sum(any(c.isalpha() for c in x) for x in w)
+        rejects = {
+            "too_few_words": len(w) < 50,
+            "repeated_windows": 100 * len(covered) > 50 * len(w),
+            "symbols": 10 * expected[2] > len(w),
+            "duplicate_lines": 100 * expected[3] > 50 * max(len(filled), 1),
+            "word_length": expected[1] < 2 * len(w) or expected[1] > 15 * len(w),
+            "wordless_tokens": 100 * letters < 70 * len(w),
+        }
+        assert r["kept"] == (not any(rejects.values())) and (r["kept"] or rejects[r["rejected_by"]])
     assert quality.cascade(empty).count() == 0
-    measured = quality.with_metrics(docs)
-    assert {x.name for x in quality.order_rules(measured, quality.production_rules(), 50)} == {x.name for x in quality.production_rules()}
+    kept = quality.keep(docs)
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, r in out.items() if r["kept"]}
+    assert quality.keep(empty).count() == 0
     plan = quality.cascade(docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
@@ -559,3 +569,17 @@ def test_slices_are_bounded_by_rows_and_bytes(monkeypatch):
     parts = [p.column(1).to_pylist() for p in arrow.slices(batch, 16)]
     assert [t for p in parts for t in p] == texts
     assert all(len(p) <= 16 and (len(p) == 1 or sum(len(t or "") for t in p) <= 100) for p in parts)
+
+
+def test_rules_run_by_rejection_per_cost_and_stop(spark, docs):
+    rules = quality.production_rules()
+    order = [r.name for r in quality.order_rules(docs, rules, 40)]
+    assert sorted(order) == sorted(r.name for r in rules)
+    assert order == [r.name for r in quality.order_rules(docs.repartition(9), rules, 40)]
+    cheap = quality.Rule("cheap", lambda m: F.length(m["text"]) >= 0, lambda m: F.lit(1))
+    # were it reached, it would fail the job
+    dear = quality.Rule("dear", lambda m: F.length(m["text"]) < 0, lambda m: F.lit(1000))
+    assert [r.name for r in quality.order_rules(docs, [dear, cheap], 40)] == ["cheap", "dear"]
+    broken = quality.Rule("broken", lambda m: F.raise_error(F.lit("evaluated")).cast("boolean"), lambda m: F.lit(1))
+    texts = table(spark, [(1, "a"), (2, None)]).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    assert {r.v for r in texts.select(quality.verdict_of([cheap, broken], {"text": F.col("text")}).alias("v")).collect()} == {"cheap"}
