@@ -4,13 +4,14 @@ Disguised spellings (digits and signs for letters, stretched letters, letters
 set apart) are read as noisy versions of plain words.  Each suspicious token
 becomes a lattice of the letters it may stand for; a Viterbi search under a
 character trigram model of the whole corpus finds the likeliest reading.  The
-restored text is then scored by a list of rules learned from labelled rows.
+restored text is then scored by a logistic classifier learned from labelled rows.
 
-A rule is a word or a word beginning.  Rules are learned by covering: the
+Its features are words and word beginnings.  They are chosen by covering: the
 feature that best explains the positive rows not explained yet is taken until
-few are left, so words that merely share documents with a rule (in groups of
-copies, for instance) are never taken.  A text's score is the smoothed
-precision of its best rule, or a value below one half if no rule holds.
+few are left, so words that merely share documents with a feature (in groups of
+copies, for instance) are never taken.  Their weights are fitted together on the
+positive and negative rows, with a prior at each feature's own log odds.  A text
+without any of them has a score below one half.
 
 A null or empty text has no words and gets the lowest score.  Rows are
 independent; a row without an id is scored and is neither held out nor trained
@@ -25,6 +26,7 @@ import re
 from collections import Counter
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,9 +41,8 @@ SIGNS = {
 FILLERS = "*.-_~^'"
 #: Log costs of the channel.
 SIGN_COST, FILLER_COST, COLLAPSE_COST = -1.0, -0.5, -0.5
-#: Bounds: labelled rows that train, candidate features, prefix lengths, tokens whose reading is remembered.
+#: Bounds: labelled rows that train, prefix lengths, tokens whose reading is remembered.
 TRAIN_ROWS = 20_000
-CANDIDATES = 50_000
 PREFIXES = (4, 5, 6, 7)
 MEMO_LENGTH = 64
 
@@ -220,33 +221,71 @@ def held_out(id_col: str):
     return F.crc32(F.col(id_col).cast("string")) % 5 == 0
 
 
+def _logistic(x):
+    return 1.0 / (1.0 + np.exp(-x))
+
+
+def _log_odds(p: float) -> float:
+    p = min(max(p, 1e-6), 1 - 1e-6)
+    return math.log(p / (1.0 - p))
+
+
 @dataclass(frozen=True)
-class Rules:
-    """Precision by feature, the share of positive rows, and the model that restores."""
+class Classifier:
+    """Weights by feature, the log odds of a text without any, and the model that restores."""
 
-    precision: dict[str, float]
-    base: float
+    weights: dict[str, float]
+    bias: float
     model: CharacterModel
 
     def scorer(self):
         restorer = Restorer(self.model)
-        whole = {k: v for k, v in self.precision.items() if not k.endswith("*")}
-        begins = {k[:-1]: v for k, v in self.precision.items() if k.endswith("*")}
-        lengths = sorted({len(k) for k in begins})
+        known = frozenset(self.weights)
+        lengths = sorted({len(k) - 1 for k in known if k.endswith("*")})
 
         def score(text: str | None) -> float:
-            best = 0.0
-            for w in restorer.words(text):
-                if w in whole:
-                    best = max(best, whole[w])
+            words = restorer.words(text)
+            held = words & known
+            for w in words:
                 for k in lengths:
-                    if len(w) > k and w[:k] in begins:
-                        best = max(best, begins[w[:k]])
-            return best if best >= 0.5 else min(0.45, self.base) * (0.5 + best if text else 0.5)
+                    if len(w) > k and w[:k] + "*" in known:
+                        held.add(w[:k] + "*")
+            p = float(_logistic(self.bias + math.fsum(self.weights[f] for f in held)))
+            return p if text else p / 2
 
         return score
 
 
+def fit(rows: dict[tuple[str, ...], tuple[int, int]], precision: dict[str, float], prior: float = 1.0) -> tuple[dict[str, float], float]:
+    """Weights and bias of a logistic regression, from (positive, all) rows by the features that they have.
+
+    The bias is that of rows without any feature, below one half; weights have a normal prior around the log odds of
+    ``precision``, of which ``prior`` is the reciprocal variance.
+    """
+    positive, n = rows.get((), (0, 0))
+    bias = _log_odds(min(0.45, (positive + 0.5) / (n + 1)))
+    names = sorted(precision)
+    if not names:
+        return {}, bias
+    held = sorted(k for k in rows if k)
+    place = {f: i for i, f in enumerate(names)}
+    x = np.zeros((len(held), len(names)))
+    for i, k in enumerate(held):
+        x[i, [place[f] for f in k]] = 1.0
+    y, total = (np.array([rows[k][j] for k in held], dtype=float) for j in (0, 1))
+    mean = np.array([_log_odds(precision[f]) - bias for f in names])
+    w = mean.copy()
+    for _ in range(100):
+        p = _logistic(x @ w + bias)
+        slope = x.T @ (y - total * p) - prior * (w - mean)
+        curve = (x * (total * p * (1 - p))[:, None]).T @ x + prior * np.eye(len(names))
+        step = np.linalg.solve(curve, slope)
+        w += step / max(1.0, float(np.abs(step).max()))
+        if np.abs(step).max() < 1e-9:
+            break
+    return dict(zip(names, w.tolist(), strict=True)), bias
+
+
 def cover(
     positives: list[set[str]], a: dict[str, int], b: dict[str, int], base: float, times: int = 2, least_precision: float = 0.7
 ) -> dict[str, float]:
@@ -284,12 +323,12 @@ def cover(
 
 def train(
     df: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"
-) -> Rules:
+) -> Classifier:
     """Learn from at most ``rows`` labelled rows, none of them held out.
 
     The character model covers all of ``df``.  The chosen ids (bounded by
-    ``rows``) are broadcast to find their texts; candidates and the positive
-    rows' candidate features reach the driver.
+    ``rows``) are broadcast to find their texts; the features that are mostly
+    in positive rows and, for each row, which of them it has reach the driver.
     """
     ensure_checkpoint_dir(df.sparkSession)
     model = character_model(df, text_col)
@@ -313,36 +352,42 @@ def train(
     n_positive, n_negative = positive.count(), negative.count()
     base = n_positive / max(1, n_positive + n_negative)
 
-    def counted(part: DataFrame, only: frozenset[str] | None) -> DataFrame:
+    def counted(part: DataFrame) -> DataFrame:
         def make():
             def work(words):
                 seen: Counter[str] = Counter()
                 for w in words:
-                    found = features(set(w))
-                    seen.update(found & only if only is not None else found)
+                    seen.update(features(set(w)))
                 return [list(seen), list(seen.values())]
 
             return work
 
         return map_columns(part, ["words"], make, "f string, n bigint").groupBy("f").agg(F.sum("n").alias("n"))
 
-    often = counted(positive, None).where("n >= 4").orderBy(F.desc("n"), "f").limit(CANDIDATES)
-    a = {r["f"]: r["n"] for r in often.collect()}
-    b = {r["f"]: r["n"] for r in counted(negative, frozenset(a)).collect()} if a else {}
-    good = frozenset(f for f, n in a.items() if n >= 0.6 * (n + b.get(f, 0)))
+    often, against = counted(positive).where("n >= 4"), counted(negative).withColumnRenamed("n", "m")
+    mostly = often.join(against, "f", "left").select("f", "n", F.coalesce("m", F.lit(0)).alias("m")).where("n >= 0.6 * (n + m)").collect()
+    a, b = ({r["f"]: r[c] for r in mostly} for c in ("n", "m"))
+
+    def held(part: DataFrame, only: frozenset[str]) -> list:
+        """Rows of ``part`` by which of the features they have: (features, positive rows, rows)."""
+
+        def make():
+            return lambda label, words: [label, [sorted(features(set(w)) & only) for w in words]]
 
-    def make_sets():
-        return lambda words: [[sorted(features(set(w)) & good) for w in words]]
+        found = map_columns(part, ["label", "words"], make, "label int, f array<string>")
+        return found.groupBy("f").agg(F.count_if(F.col("label") == 1).alias("positive"), F.count("*").alias("n")).collect()
 
-    held = [set(r["f"]) for r in map_columns(positive, ["words"], make_sets, "f array<string>").collect()] if good else []
-    return Rules(cover([h for h in held if h], a, b, base), base, model)
+    positives = [set(r["f"]) for r in (held(positive, frozenset(a)) if a else []) for _ in range(r["n"] if r["f"] else 0)]
+    precision = cover(positives, a, b, base)
+    seen = {tuple(r["f"]): (r["positive"], r["n"]) for r in held(rows_of.where("label in (0, 1)"), frozenset(precision))}
+    return Classifier(*fit(seen, precision), model)
 
 
-def score(df: DataFrame, rules: Rules, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(df: DataFrame, learned: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, score`` of every text."""
 
     def make():
-        one = rules.scorer()
+        one = learned.scorer()
         return lambda keys, texts: [keys, [one(t) for t in texts]]
 
     kind = df.schema[id_col].dataType.simpleString()
@@ -359,10 +404,10 @@ def toxicity(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def drop_toxic(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df``, with all their columns, whose score is below one half."""
-    rules = train(df, labels, id_col=id_col, text_col=text_col)
+    learned = train(df, labels, id_col=id_col, text_col=text_col)
 
     def make():
-        one = rules.scorer()
+        one = learned.scorer()
         return lambda texts: [one(t) < 0.5 for t in texts]
 
     return filter_rows(df, text_col, make)

@@ -3,6 +3,7 @@ repeated rows, empty tables and extra columns of clashing names."""
 
 import collections
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -366,6 +367,9 @@ def test_toxicity(spark, empty):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {i for i, r in out.items() if not r["predicted"]}
     assert toxicity.toxicity(empty, labels).count() == 0
     assert {r.predicted for r in toxicity.toxicity(docs, labels.limit(0)).collect()} == {0}
+    # labels of one kind only
+    alike = by_id(toxicity.toxicity(docs, labels.where("toxic = 1")))
+    assert all(0 <= r["score"] <= 1 for r in alike.values()) and alike[1005]["predicted"] == 0
 
 
 def plain_substrings(rows, window):
@@ -503,6 +507,45 @@ def test_disguises_of_any_share_and_length(spark):
     assert len(toxicity.decode("a1" * 50_000, toxicity.CharacterModel.of({"^^a": 1.0}))) == 100_000
 
 
+def test_decoder_against_all_readings():
+    words = "vile fool house tree river stone vines evil love feel".split()
+    counts = collections.Counter(f"^^{w}$"[i : i + 3] for w in words for i in range(len(w) + 1))
+    model = toxicity.CharacterModel.of({g: float(n) for g, n in counts.items()})
+
+    def readings(edges, at):
+        if at == len(edges):
+            yield "", 0.0
+            return
+        for letters, cost, width in edges[at]:
+            for rest, s in readings(edges, at + width):
+                yield letters + rest, cost + s
+
+    def value(word, cost):
+        padded = f"^^{word}$"
+        return cost + sum(model.log(padded[i : i + 2], padded[i + 2]) for i in range(len(padded) - 2))
+
+    rng = random.Random(6)
+    for _ in range(300):
+        token = "".join(rng.choice("vilefo013!|*.-eee") for _ in range(rng.randint(1, 9)))
+        every = [(value(w, c), w) for w, c in readings(toxicity.lattice(token), 0)]
+        found = toxicity.decode(token, model)
+        assert abs(max(v for v, w in every if w == found) - max(every)[0]) < 1e-9, token
+
+
+def test_weights_are_fitted_together():
+    # "b" is mostly in negative rows unless "a" is there too
+    rows = {(): (2, 400), ("a",): (95, 100), ("b",): (3, 60), ("a", "b"): (40, 41)}
+    weights, bias = toxicity.fit(rows, {"a": 0.95, "b": 0.7}, prior=1e-6)
+    p = lambda *f: 1 / (1 + math.exp(-bias - sum(weights[x] for x in f)))
+    total = {f: sum(n * p(*k) for k, (_, n) in rows.items() if f in k) for f in "ab"}
+    assert abs(total["a"] - 135) < 1e-3 and abs(total["b"] - 43) < 1e-3
+    assert p("b") < 0.5 < p("a") < p("a", "b") and abs(p() - 2.5 / 401) < 1e-9
+    # a feature without rows keeps its own precision; without rows or features no text is positive
+    weights, bias = toxicity.fit({(): (0, 10)}, {"a": 0.9})
+    assert abs(1 / (1 + math.exp(-bias - weights["a"])) - 0.9) < 1e-9
+    assert toxicity.fit({}, {}) == ({}, math.log(0.45 / 0.55)) and toxicity.fit({(): (9, 9)}, {})[1] < 0
+
+
 def test_character_model_counts_every_trigram(spark):
     # a script of many letters, words beside punctuation, and a word of more than 24 letters
     signs = "".join(chr(0x4E00 + i) for i in range(20_000))
