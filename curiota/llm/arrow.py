@@ -58,6 +58,30 @@ def map_columns(df: DataFrame, columns: Sequence[str], make: Callable[[], Callab
     return df.select(*quoted).mapInArrow(run, struct)
 
 
+def gather_columns(df: DataFrame, columns: Sequence[str], make: Callable, schema: str) -> DataFrame:
+    """Gather slices of the given columns in one ``make()`` a task.
+
+    Its ``add(*lists)`` returns output columns where it has gathered enough, else None; ``take()`` returns the rest.
+    """
+    struct = parse_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow = to_arrow_schema(struct)
+        held = make()
+
+        def record(out: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(out, arrow, strict=True)], schema=arrow)
+
+        for batch in batches:
+            for part in slices(batch):
+                out = held.add(*(part.column(i).to_pylist() for i in range(part.num_columns)))
+                if out is not None:
+                    yield record(out)
+        yield record(held.take())
+
+    return df.select(*(f"`{c}`" for c in columns)).mapInArrow(run, struct)
+
+
 def filter_rows(df: DataFrame, column: str, make: Callable[[], Callable]) -> DataFrame:
     """The rows for whose value of ``column`` the predicate holds; ``make()`` gives it for a list of values."""
     at = df.columns.index(column)

@@ -24,13 +24,14 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curiota.llm.arrow import ensure_checkpoint_dir, filter_rows, map_columns
+from curiota.llm.arrow import ensure_checkpoint_dir, filter_rows, gather_columns, map_columns
 
 #: Letters that a sign may stand for.
 SIGNS = {
@@ -47,10 +48,16 @@ PREFIXES = (4, 5, 6, 7)
 MEMO_LENGTH = 64
 
 _WORD = re.compile(r"[^\W\d_]+")
-_STRETCHED = re.compile(r"\w*?([^\W\d_])\1\1\w*")
 _READABLE = re.compile(rf"(?:[^\W\d_]|[{re.escape(''.join(SIGNS) + FILLERS)}])+")
 _PARTS = frozenset(FILLERS + " ")
+_EDGES = "\"'.,;:?()[]{}<>#%&*"
 _APART = re.compile(r"(?<!\w)[^\W\d_](?:[ .\-_*][\w@$!|+]){2,}(?!\w)")
+_RUN = re.compile(r"\w+")
+#: By code point, the last entry for all others: may be a letter; may stand between letters set apart.
+_LETTERS = np.array([chr(i).isalpha() for i in range(128)] + [True])
+_BETWEEN = np.array([chr(i) in " .-_*" for i in range(128)] + [False])
+#: Characters whose positions are searched at a time, and letters of the words that are counted together.
+BLOCK, COUNTED = 1 << 20, 4 << 20
 
 
 @dataclass
@@ -142,6 +149,7 @@ class Restorer:
     def __init__(self, model: CharacterModel):
         self.model = model
         self.known: dict[str, tuple[str, ...]] = {}
+        self.split: dict[str, tuple[str, ...]] = {}
 
     def reading(self, token: str) -> tuple[str, ...]:
         """The token as one word, and its words where signs inside it may part them."""
@@ -157,30 +165,58 @@ class Restorer:
             self.known[token] = out
         return out
 
-    def suspicious(self, text: str):
-        """Lower-case tokens that may be disguised words: those that the lattice has an edge for at each character."""
-        for token in text.split():
-            if token.isalpha():
-                continue
-            token = token.strip("\"'.,;:?()[]{}<>#%&*")
-            core = token.rstrip("!")
-            # "!" at the end may end a sentence or stand for a letter
-            for word in {core, token}:
-                if not word.isalpha() and _READABLE.fullmatch(word):
-                    yield word
-        for m in _STRETCHED.finditer(text):
-            yield m[0]
-        for m in _APART.finditer(text):
-            yield m[0]
+    def parts(self, token: str) -> tuple[str, ...]:
+        """The letter runs of a token without signs at its ends, and its readings if the lattice has an edge at each character."""
+        if token in self.split:
+            return self.split[token]
+        out = _WORD.findall(token)
+        # "!" at the end may end a sentence or stand for a letter
+        for word in {token.rstrip("!"), token}:
+            if not word.isalpha() and _READABLE.fullmatch(word):
+                out += self.reading(word)
+        if len(token) <= MEMO_LENGTH:
+            if len(self.split) > 50_000:
+                self.split.clear()
+            self.split[token] = tuple(out)
+        return tuple(out)
 
     def words(self, text: str | None) -> set[str]:
-        low = (text or "").lower()
-        out = set(_WORD.findall(low))
-        for token in set(self.suspicious(low)):
+        low, out = (text or "").lower(), set()
+        for token in set(low.split()):
+            if not token.isalpha():
+                token = token.strip(_EDGES)
+                if not token.isalpha():
+                    out.update(self.parts(token))
+                    continue
+            out.add(token)
+        for token in set(disguised(low)):
             out.update(self.reading(token))
         return out
 
 
+def disguised(text: str) -> Iterator[str]:
+    """Runs of word characters with a letter three times in a row, and letters set apart.
+
+    The few positions where one can be are found by comparing code points, a block at a time.
+    """
+    stretched = apart = 0
+    for lo in range(0, len(text), BLOCK):
+        code = np.frombuffer(text[lo : lo + BLOCK + 3].encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+        known = np.minimum(code, 128)
+        letter, between = _LETTERS[known], _BETWEEN[known]
+        for i in (np.flatnonzero((code[:-2] == code[1:-1]) & (code[1:-1] == code[2:]) & letter[:-2]) + lo).tolist():
+            if i >= stretched and _WORD.match(text, i):
+                start = i
+                while start > stretched and _RUN.match(text[start - 1]):
+                    start -= 1
+                stretched = _RUN.match(text, i).end()
+                yield text[start:stretched]
+        for i in (np.flatnonzero(letter[:-3] & between[1:-2] & between[3:]) + lo).tolist():
+            if i >= apart and (found := _APART.match(text, i)):
+                apart = found.end()
+                yield found[0]
+
+
 def features(words: set[str]) -> set[str]:
     """Words, and word beginnings marked by a star."""
     out = set(words)
@@ -192,28 +228,38 @@ def features(words: set[str]) -> set[str]:
     return out
 
 
-def word_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``word, n`` over all texts: lower-case runs of letters, added up per slice before the shuffle."""
+class Trigrams:
+    """Counts of character trigrams over lower-case runs of letters; words are counted first, as many as fit a bound."""
 
-    def make():
-        def work(texts):
-            seen: Counter[str] = Counter()
-            for text in texts:
-                seen.update(_WORD.findall((text or "").lower()))
-            return [list(seen), list(seen.values())]
+    def __init__(self):
+        self.words: Counter[str] = Counter()
+        self.letters = 0
 
-        return work
+    def add(self, texts: list[str | None]) -> list[list] | None:
+        for text in texts:
+            before = len(self.words)
+            tokens = Counter((text or "").lower().split())
+            for token, n in tokens.items():
+                for word in (token,) if token.isalpha() else _WORD.findall(token):
+                    self.words[word] += n
+            # a new word is counted as its text's mean, so that only sums are kept
+            self.letters += (len(self.words) - before) * (1 + len(text or "") // max(1, len(tokens)))
+        return self.take() if self.letters > COUNTED else None
 
-    return map_columns(df, [text_col], make, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    def take(self) -> list[list]:
+        grams: Counter[str] = Counter()
+        for word, n in self.words.items():
+            padded = f"^^{word}$"
+            for i in range(len(word) + 1):
+                grams[padded[i : i + 3]] += n
+        self.words.clear()
+        self.letters = 0
+        return [list(grams), list(grams.values())]
 
 
 def character_model(df: DataFrame, text_col: str = "text") -> CharacterModel:
     """Trigram counts of the corpus, all of them; their number grows with the scripts of the corpus, not with its size."""
-    padded = F.concat(F.lit("^^"), F.col("word"), F.lit("$"))
-    grams = word_counts(df, text_col).select(
-        "n", F.explode(F.transform(F.sequence(F.lit(1), F.length("word") + 1), lambda i: F.substring(padded, i, F.lit(3)))).alias("g")
-    )
-    rows = grams.groupBy("g").agg(F.sum("n").alias("n")).collect()
+    rows = gather_columns(df, [text_col], Trigrams, "g string, n bigint").groupBy("g").agg(F.sum("n").alias("n")).collect()
     return CharacterModel.of({r["g"]: float(r["n"]) for r in rows})
 
 
@@ -242,11 +288,13 @@ class Classifier:
         restorer = Restorer(self.model)
         known = frozenset(self.weights)
         lengths = sorted({len(k) - 1 for k in known if k.endswith("*")})
+        least = lengths[0] if lengths else 0
+        heads = frozenset(k[:least] for k in known if k.endswith("*"))
 
         def score(text: str | None) -> float:
             words = restorer.words(text)
             held = words & known
-            for w in words:
+            for w in [w for w in words if w[:least] in heads]:
                 for k in lengths:
                     if len(w) > k and w[:k] + "*" in known:
                         held.add(w[:k] + "*")

@@ -626,3 +626,43 @@ def test_rules_run_by_rejection_per_cost_and_stop(spark, docs):
     broken = quality.Rule("broken", lambda m: F.raise_error(F.lit("evaluated")).cast("boolean"), lambda m: F.lit(1))
     texts = table(spark, [(1, "a"), (2, None)]).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     assert {r.v for r in texts.select(quality.verdict_of([cheap, broken], {"text": F.col("text")}).alias("v")).collect()} == {"cheap"}
+
+
+def test_toxicity_words_against_whole_text_patterns(monkeypatch):
+    stretched, word = re.compile(r"\w*?([^\W\d_])\1\1\w*"), re.compile(r"[^\W\d_]+")
+    restorer = toxicity.Restorer(toxicity.CharacterModel.of({"^^a": 3.0, "^ab": 2.0, "aaa": 1.0}))
+    drawn = random.Random(5)
+    for block in (1, 2, 5, 1 << 20):
+        monkeypatch.setattr(toxicity, "BLOCK", block)
+        for n in [0, 1, 2, 3, 4, 20, 60] * 60:
+            text = "".join(drawn.choices("aaabbcdeß½²éд٣ _-.*~'\"!|$@+01234,(#)\n\t\x1cİΣ😀ａ一", k=n))
+            text = drawn.choice([text, text.replace("b", "aaa"), " ".join(text)])
+            low = text.lower()
+            apart = [m[0] for m in toxicity._APART.finditer(low)]
+            assert sorted(toxicity.disguised(low)) == sorted([m[0] for m in stretched.finditer(low)] + apart)
+            want = set(word.findall(low))
+            for token in low.split():
+                token = token.strip(toxicity._EDGES)
+                for w in (token, token.rstrip("!")):
+                    if not w.isalpha() and toxicity._READABLE.fullmatch(w):
+                        want.update(restorer.reading(w))
+            for w in toxicity.disguised(low):
+                want.update(restorer.reading(w))
+            assert restorer.words(text) == want
+
+
+def test_trigrams_in_any_portions(spark, monkeypatch):
+    texts = ["Word, word w0rd", None, "", "naïve x" * 30, "a-b_c " * 40]
+    want = collections.Counter()
+    for text in texts:
+        for w in re.findall(r"[^\W\d_]+", (text or "").lower()):
+            want.update(f"^^{w}$"[i : i + 3] for i in range(len(w) + 1))
+    for bound in (1, 50, 1 << 20):
+        monkeypatch.setattr(toxicity, "COUNTED", bound)
+        held, got = toxicity.Trigrams(), collections.Counter()
+        for part in ([t] for t in texts):
+            if (out := held.add(part)) is not None:
+                got.update(dict(zip(*out, strict=True)))
+        got.update(dict(zip(*held.take(), strict=True)))
+        assert got == want
+    assert toxicity.character_model(table(spark, list(enumerate(texts)))).three == want
