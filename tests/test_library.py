@@ -335,3 +335,12 @@ def test_near_ties_of_names_stay_undecided():
     assert taxonomy.resolve_match(raw, ranks, [], candidates).reason == "classification_allAccepted"
     candidates[1]["status"] = "unaccepted"
     assert taxonomy.resolve_match(raw, ranks, [], candidates).reason == "classification_undecided"
+
+
+def test_any_number_of_four_digits_dates_an_authorship():
+    years = {"Authora, 2345": 2345, "Authora, 1520": 1520, "Authora, 18005": 18005, "Authora1758": 1758, "(Authora 1758a)": 1758, "Authora 175": None}
+    assert {t: N.parse_authorship(t).year for t in years} == years
+    # records of other years are no match, and not undated ones either
+    candidates = [CANDIDATE | {"valid_AphiaID": i, "authority": f"Authorb, {1800 + i}"} for i in (7, 300, 999, 16207, 59997)]
+    d = taxonomy.resolve_match("Gadus morhua", GIVEN, ["Authora, 1807"], candidates)
+    assert (d.decision, d.reason, d.candidate) == ("match", "classification_authorship_singleMatch", 0)
