@@ -7,10 +7,12 @@ of ranks and verbatim columns; decisions come back by a null-safe key join.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -271,7 +273,8 @@ def resolve_match(raw: str | None, given: dict, verbatims: list, candidates: lis
     return d
 
 
-_OUT = "decision string, reason string, candidate int, issue string"
+#: Combinations of one name that are decided together.
+CHUNK = 256
 
 
 def combination_key(columns: list[str]) -> Column:
@@ -320,27 +323,32 @@ def harmonize(
     fields = F.struct(*(F.col(f"`{f}`") for f in FIELD_NAMES))
     lists = matched.groupBy("raw").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("variant", F.lit(0)).alias("v"), F.coalesce("AphiaID", F.lit(0)).alias("a"), fields.alias("c")))).alias("cs"))
     lists = lists.select(F.col("raw").alias("__raw2"), F.transform("cs", lambda x: x["c"]).alias("candidates"))
-    joined = combos.join(lists, F.col("__raw") == F.col("__raw2"), "left")
-    ranks = list(given)
-
-    @F.pandas_udf(_OUT)
-    def decide(raw: pd.Series, ranks_in: pd.DataFrame, texts: pd.DataFrame, candidates: pd.Series) -> pd.DataFrame:
-        out = []
-        for i in range(len(raw)):
-            known = {r: ranks_in.iloc[i, j] for j, r in enumerate(ranks)}
-            found = [dict(c) for c in candidates.iloc[i]] if candidates.iloc[i] is not None else []
-            found = [{k: None if isinstance(v, float) and v != v else v for k, v in c.items()} for c in found]
-            d = resolve_match(raw.iloc[i], known, list(texts.iloc[i])[1:], found, s)
-            out.append((d.decision, d.reason, d.candidate, ";".join(d.issues) or None))
-        frame = pd.DataFrame(out, columns=["decision", "reason", "candidate", "issue"])
-        frame["candidate"] = frame["candidate"].astype("Int32")
-        return frame
-
-    rank_struct = F.struct(*(F.col(f"__r_{r}") for r in ranks)) if ranks else F.struct(F.lit(None).cast("string").alias("none"))
-    text_struct = F.struct(F.lit(None).cast("string").alias("first"), *(F.col(f"__v_{i}") for i in range(len(verbatims))))
-    decided = joined.withColumn("d", decide("__raw", rank_struct, text_struct, "candidates")).select(
-        "__key", "d.decision", "d.reason", "d.issue", F.get("candidates", F.col("d.candidate")).alias("c")
-    )
+    # a row for each name and at most CHUNK of its combinations: the candidates travel once for all of them
+    place = F.row_number().over(Window.partitionBy("__raw").orderBy("__key"))
+    told = F.struct("__key", *parts[1:])
+    chunks = combos.withColumn("__chunk", F.floor((place - 1) / CHUNK)).groupBy("__raw", "__chunk").agg(F.collect_list(told).alias("combos"))
+    joined = chunks.join(lists, F.col("__raw") == F.col("__raw2"), "left").select("__raw", "combos", "candidates")
+    record = joined.schema["candidates"].dataType.elementType
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, asked, known = (batch.column(n) for n in ("__raw", "combos", "candidates"))
+            for i in range(batch.num_rows):
+                raw, told, pool = names[i].as_py(), asked[i].as_py(), known[i].values
+                found = [{k: None if isinstance(v, float) and v != v else v for k, v in c.items()} for c in pool.to_pylist()] if pool is not None else []
+                ds = [resolve_match(raw, {r: c[f"__r_{r}"] for r in given}, [c[f"__v_{j}"] for j in range(len(verbatims))], found, s) for c in told]
+                at = pa.array([d.candidate for d in ds], pa.int32())
+                columns = {
+                    "__key": pa.array([c["__key"] for c in told], pa.int64()),
+                    "decision": pa.array([d.decision for d in ds], pa.string()),
+                    "reason": pa.array([d.reason for d in ds], pa.string()),
+                    "issue": pa.array([";".join(d.issues) or None for d in ds], pa.string()),
+                    "c": pool.take(at) if pool is not None else pa.nulls(len(ds), known.type.value_type),
+                }
+                yield pa.RecordBatch.from_pydict(columns)
+
+    # what follows reads the decisions twice
+    decided = durable(joined.mapInArrow(decide, f"__key bigint, decision string, reason string, issue string, c {record.simpleString()}"))
     if decisions is not None:
         own = decisions.select(F.col("key").alias("__key"), F.col("decision").alias("__d"), F.concat("reason", F.lit("_userSelected")).alias("__r"), F.col("AphiaID").alias("__a"))
         decided = decided.join(own, "__key", "left").select("__key", F.coalesce("__d", "decision").alias("decision"), F.coalesce("__r", "reason").alias("reason"), "issue", "c", "__a")
