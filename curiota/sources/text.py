@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from curiota.functions.durable import durable
 from curiota.functions.naming import col
 from curiota.functions.nulls import stdnan
 from curiota.functions.text import strip_quotes
@@ -86,10 +87,12 @@ def with_row_id(df: DataFrame, name: str = "row_id", start: int = 2, order: list
     """Consecutive numbers in scan order, or in the order of key columns.
 
     Each partition counts its rows; the offsets (one number per partition) go
-    back as a literal map.  The first data row of a file with a header is 2.
+    back as a literal map.  Rows are written with their place first: another run
+    of a sort or a scan may cut its partitions elsewhere.  Null keys come last.
+    The first data row of a file with a header is 2.
     """
-    ordered = df.orderBy(*(col(c) for c in order)) if order else df
-    marked = ordered.withColumn("__at", F.monotonically_increasing_id())
+    ordered = df.orderBy(*(col(c).asc_nulls_last() for c in order)) if order else df
+    marked = durable(ordered.withColumn("__at", F.monotonically_increasing_id()))
     part = F.shiftright("__at", 33)
     sizes = {r["p"]: r["n"] for r in marked.groupBy(part.alias("p")).agg(F.count("*").alias("n")).collect()}
     offsets, total = [], start

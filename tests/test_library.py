@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from curiota import catalog
 from curiota.analytics import species
@@ -359,3 +360,10 @@ def test_combinations_are_decided_beside_years_of_any_size(spark, monkeypatch):
         "a": ("match", single, 1), "b": ("match", single, 2), "c": ("match", single, 3), "d": ("nomatch", "worms_taxonNoMatch", None),
         "e": ("nomatch", "taxonNoSpecies", None), "f": ("nomatch", "classification_authorship_noMatch", None),
     }
+
+
+def test_row_ids_of_a_large_sort_are_consecutive(spark):
+    df = spark.range(300_000).select(((F.col("id") * 7919) % 300_000).alias("k"), F.repeat(F.lit("x"), 20).alias("more")).repartition(4)
+    got = sources.with_row_id(df.union(spark.createDataFrame([(None, "x")], "k bigint, more string")), order=["k"])
+    assert got.where("row_id <> coalesce(k, 300000) + 2").count() == 0
+    assert got.agg(F.count_distinct("row_id"), F.count("row_id")).collect()[0][:] == (300_001, 300_001)
