@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
@@ -36,6 +38,28 @@ def slices(batch: pa.RecordBatch, rows: int = SLICE_ROWS) -> Iterator[pa.RecordB
         lo = hi
 
 
+def release() -> None:
+    """Give freed memory back to the machine."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # only the GNU library has it
+        pass
+
+
+def released(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``run``, after which its memory is released: a worker lives on beside other stages' heaps and workers."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return whole
+
+
 def map_columns(df: DataFrame, columns: Sequence[str], make: Callable[[], Callable], schema: str, rows: int = SLICE_ROWS) -> DataFrame:
     """Run ``make()(*lists)`` over slices of the given columns.
 
@@ -55,7 +79,7 @@ def map_columns(df: DataFrame, columns: Sequence[str], make: Callable[[], Callab
                 )
 
     quoted = [f"`{c}`" for c in columns]
-    return df.select(*quoted).mapInArrow(run, struct)
+    return df.select(*quoted).mapInArrow(released(run), struct)
 
 
 def gather_columns(df: DataFrame, columns: Sequence[str], make: Callable, schema: str) -> DataFrame:
@@ -79,7 +103,7 @@ def gather_columns(df: DataFrame, columns: Sequence[str], make: Callable, schema
                     yield record(out)
         yield record(held.take())
 
-    return df.select(*(f"`{c}`" for c in columns)).mapInArrow(run, struct)
+    return df.select(*(f"`{c}`" for c in columns)).mapInArrow(released(run), struct)
 
 
 def filter_rows(df: DataFrame, column: str, make: Callable[[], Callable]) -> DataFrame:
@@ -92,7 +116,7 @@ def filter_rows(df: DataFrame, column: str, make: Callable[[], Callable]) -> Dat
             for part in slices(batch):
                 yield part.filter(pa.array(keep(part.column(at).to_pylist()), type=pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(released(run), df.schema)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curiota.llm.arrow import map_columns
+from curiota.llm.arrow import map_columns, released
 from curiota.llm.bpe import merge_list
 
 #: Fixed value: the word pattern of the lower-casing vocabulary.
@@ -315,7 +315,7 @@ def pack(cut: DataFrame, capacity: int = 2048) -> DataFrame:
 
     dealt = cut.repartition("id", "piece")
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in cut.schema)
-    return dealt.mapInArrow(run, f"{kinds}, sequence_id bigint, offset bigint")
+    return dealt.mapInArrow(released(run), f"{kinds}, sequence_id bigint, offset bigint")
 
 
 def pack_documents(

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curiota.llm.arrow import ensure_checkpoint_dir, map_columns
+from curiota.llm.arrow import ensure_checkpoint_dir, map_columns, released
 
 #: Shingles whose bits are added up at a time.
 _BLOCK = 1 << 15
@@ -143,7 +143,7 @@ def links(classes: DataFrame, distance: int) -> DataFrame:
 
     indexed = variants(classes, distance)
     dealt = indexed.repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(released(run), "a bigint, b bigint").distinct()
 
 
 def components(edges: DataFrame, rounds: int = 200) -> DataFrame:
@@ -259,7 +259,7 @@ def similar_links(sketched: DataFrame) -> DataFrame:
 
     banded = sketched.distinct().select(F.explode("keys").alias("key"), "fp", "marks")
     dealt = banded.repartition("key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(released(run), "a bigint, b bigint").distinct()
 
 
 def drop_near_duplicates(
